@@ -58,3 +58,29 @@ def top_n(df: DataFrame, order: Sequence[str | Column], n: int) -> DataFrame:
 def head(df: DataFrame, n: int, order: str | Column = "_ord") -> DataFrame:
     """O3: first ``n`` rows in file (or given) order."""
     return df.orderBy(_as_col(order)).limit(n)
+
+
+def with_row_number(df: DataFrame, order: Sequence[str | Column], name: str = "rank") -> DataFrame:
+    """Global 1-based row numbers in ``order`` without a single-partition window.
+
+    The sort range-partitions the rows; each row gets (partition id, position inside its
+    partition); per-partition row counts (one row per partition) give each partition's
+    offset. The sorted rows are persisted so both uses see the same partitioning.
+    ``order`` must be a total order (end it with a unique key) for a deterministic result.
+    """
+    from pyspark import StorageLevel
+
+    sorted_df = (
+        df.orderBy(*[_as_col(o) for o in order])
+        .withColumn("__pid", F.spark_partition_id())
+        .withColumn("__mid", F.monotonically_increasing_id())
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    counts = sorted_df.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
+    offsets = counts.withColumn(
+        "__off", F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n")
+    )
+    # one row per partition: bounded by the partition count
+    out = sorted_df.join(F.broadcast(offsets.select("__pid", "__off", "__first")), "__pid")
+    rank = (F.col("__off") + F.col("__mid") - F.col("__first") + 1).alias(name)
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], rank)

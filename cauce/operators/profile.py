@@ -100,7 +100,7 @@ def quantiles(
         agg = base.groupBy(*keys).agg(F.percentile_approx("__v", list(probs), accuracy).alias("__q"))
         return agg.select(*by, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
 
-    vc = base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__w"))
+    vc = base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__w")).persist(StorageLevel.MEMORY_AND_DISK)
     cuts = [i / buckets for i in range(1, buckets)]
     bounds = vc.groupBy(*keys).agg(
         F.percentile_approx("__v", cuts, accuracy).alias("__b"), F.sum("__w").alias("__n")
@@ -118,7 +118,7 @@ def quantiles(
     )
     prob_arr = F.array(*[F.lit(float(p)) for p in probs])
     targets = (
-        bounds.select(*keys, "__n", F.posexplode(prob_arr).alias("__i", "__p"))
+        bounds_b.select(*keys, "__n", F.posexplode(prob_arr).alias("__i", "__p"))
         .withColumn("__pos", (F.col("__n") - 1) * F.col("__p"))
         .withColumn("__r", F.explode(F.array_distinct(F.array(F.floor("__pos"), F.ceil("__pos")))))
         .withColumn("__r", F.col("__r").cast("long"))
@@ -259,17 +259,16 @@ def correlation_long(df: DataFrame, cols: Sequence[str] | None = None, digits: i
             exprs.append(e.alias(f"__p{i}_{j}"))
             slots.append((i, j))
     wide = df.agg(*exprs)
-    long = wide.unpivot([], [f"__p{i}_{j}" for i, j in slots], "__slot", "corr")
-    pairs_a = F.create_map(*[x for i, j in slots for x in (F.lit(f"__p{i}_{j}"), F.lit(cols[i]))])
-    pairs_b = F.create_map(*[x for i, j in slots for x in (F.lit(f"__p{i}_{j}"), F.lit(cols[j]))])
+    # both orders of every pair read the same aggregate column: one job, 2-D result
+    both = [(i, j) for i in range(len(cols)) for j in range(len(cols))]
+    square = wide.select(*[F.col(f"__p{min(i, j)}_{max(i, j)}").alias(f"__s{i}_{j}") for i, j in both])
+    long = square.unpivot([], [f"__s{i}_{j}" for i, j in both], "__slot", "corr")
+    pairs_a = F.create_map(*[x for i, j in both for x in (F.lit(f"__s{i}_{j}"), F.lit(cols[i]))])
+    pairs_b = F.create_map(*[x for i, j in both for x in (F.lit(f"__s{i}_{j}"), F.lit(cols[j]))])
     val = F.bround("corr", digits) if digits is not None else F.col("corr")
-    upper = long.select(
+    return long.select(
         pairs_a[F.col("__slot")].alias("column_a"), pairs_b[F.col("__slot")].alias("column_b"), val.alias("corr")
     )
-    lower = upper.where("column_a <> column_b").select(
-        F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), "corr"
-    )
-    return upper.unionByName(lower)
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None, digits: int | None = 3) -> DataFrame:
