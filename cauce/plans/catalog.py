@@ -828,3 +828,7 @@ def x15_na_words(spark, sf):
         .otherwise(F.col("o_orderstatus"))
     )
     return o.select("o_orderkey", X.null_markers(txt).alias("status"))
+
+
+# round trips through files register themselves into the same catalogue
+from cauce.plans import roundtrips  # noqa: E402,F401

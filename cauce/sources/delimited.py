@@ -267,7 +267,7 @@ def sniff_separator(
 ) -> str | None:
     """First candidate that occurs the same non-zero number of times on each of the
     first ``sample_lines`` lines; None when none qualifies."""
-    lines = [r[0] for r in preview_lines(spark, path, sample_lines, encoding).collect()]
+    lines = [r["value"] for r in preview_lines(spark, path, sample_lines, encoding).collect()]
     for sep in candidates:
         counts = {line.count(sep) for line in lines}
         if lines and len(counts) == 1 and counts.pop() > 0:

@@ -47,6 +47,7 @@ def write_csv(
     header: bool = True,
     single_file: bool = False,
     mode: str = "overwrite",
+    encoding: str = "UTF-8",
 ) -> str:
     """K3: delimited text with header. Quotes are doubled, nulls and empty strings are
     written as empty fields (as a pandas ``to_csv``). ``single_file`` coalesces to one
@@ -62,6 +63,54 @@ def write_csv(
         .option("escape", '"')
         .option("emptyValue", "")
         .option("nullValue", "")
+        .option("encoding", encoding)
         .csv(path)
     )
     return path
+
+
+def write_lines(df: DataFrame, path: str, encoding: str = "UTF-8", mode: str = "overwrite") -> str:
+    """Write a one-column (``value``) DataFrame as raw text lines in ``encoding`` (the text
+    source only writes UTF-8). Lines are written verbatim: no quoting, no trimming."""
+    if mode == "overwrite":
+        guard_overwrite(df, path)
+    (
+        df.write.mode(mode)
+        .option("sep", "\u0001")
+        .option("quote", "")
+        .option("escapeQuotes", "false")
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
+        .option("encoding", encoding)
+        .csv(path)
+    )
+    return path
+
+
+def write_with_preamble(
+    df: DataFrame,
+    path: str,
+    preamble: list[str],
+    sep: str = ";",
+    encoding: str = "ISO-8859-1",
+    mode: str = "overwrite",
+) -> str:
+    """Delimited text where *every* part file starts with the ``preamble`` lines and the
+    header, like the official exports the preamble scan reads. Rows are rendered with
+    ``to_csv``; each partition prepends the top lines to its first batch, so files are
+    written in parallel and their number follows the data."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    top = list(preamble) + [sep.join(df.columns)]
+    body = df.select(F.to_csv(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"sep": sep}).alias("value"))
+
+    def prepend(batches):
+        first = True
+        for batch in batches:
+            if first and len(batch):
+                yield pd.DataFrame({"value": top})
+                first = False
+            yield batch
+
+    return write_lines(body.mapInPandas(prepend, "value string"), path, encoding, mode)
