@@ -236,39 +236,94 @@ def boxplot_outliers(df: DataFrame, value: str, by: str, whisker: float = 1.5) -
 
 
 # --- A11 -----------------------------------------------------------------------------
-def _pair_corr(a: Column, b: Column) -> Column:
-    both = a.isNotNull() & b.isNotNull() & ~F.isnan(a) & ~F.isnan(b)
-    xa, xb = F.when(both, a), F.when(both, b)
-    return F.try_divide(F.covar_samp(xa, xb), F.stddev_samp(xa) * F.stddev_samp(xb))
+def _pair_moments(batches, k: int):
+    """Per partition: pairwise-complete moments of k columns, merged batch by batch.
+
+    For every ordered pair (i, j) over rows where both are present: n, mean_i, mean_j,
+    M2_i, M2_j (sums of squared deviations) and C (sum of cross deviations). Each batch is
+    shifted by its own column means before squaring (no cancellation), and batches are
+    merged with the parallel-moment update. Emits k*k rows per partition.
+    """
+    import numpy as np
+    import pandas as pd
+
+    n = np.zeros((k, k))
+    mi = np.zeros((k, k))
+    m2i = np.zeros((k, k))
+    c = np.zeros((k, k))
+    for pdf in batches:
+        x = pdf.to_numpy(dtype="float64", na_value=np.nan)
+        if not len(x):
+            continue
+        valid = ~np.isnan(x)
+        m = valid.astype("float64")
+        cnt = valid.sum(axis=0)
+        shift = np.where(cnt > 0, np.nansum(x, axis=0) / np.maximum(cnt, 1), 0.0)
+        z = np.where(valid, x - shift, 0.0)
+        nb = m.T @ m                                   # rows with both i and j
+        sb = z.T @ m                                   # sum of shifted x_i over those rows
+        with np.errstate(invalid="ignore", divide="ignore"):
+            mb = np.where(nb > 0, sb / nb, 0.0)
+        m2b = (z * z).T @ m - nb * mb * mb             # M2 of x_i over rows with both
+        cb = z.T @ z - nb * mb * mb.T                  # cross deviations (mean_j|i = mb.T)
+        mb = mb + shift[:, None]
+        tot = n + nb
+        with np.errstate(invalid="ignore", divide="ignore"):
+            d = np.where(tot > 0, mb - mi, 0.0)
+            w = np.where(tot > 0, n * nb / tot, 0.0)
+            mi = np.where(tot > 0, mi + d * nb / tot, 0.0)
+        m2i = m2i + m2b + d * d * w
+        c = c + cb + d * d.T * w
+        n = tot
+    if not n.any():
+        return
+    ii, jj = np.meshgrid(np.arange(k), np.arange(k), indexing="ij")
+    yield pd.DataFrame({
+        "i": ii.ravel(), "j": jj.ravel(), "n": n.ravel(),
+        "mi": mi.ravel(), "mj": mi.T.ravel(), "m2i": m2i.ravel(), "m2j": m2i.T.ravel(), "c": c.ravel(),
+    })
 
 
 def correlation_long(df: DataFrame, cols: Sequence[str] | None = None, digits: int | None = 3) -> DataFrame:
     """Pearson correlation of every ordered pair of numeric columns over pairwise-complete
-    rows, as (column_a, column_b, corr). A constant column gives null, not an error."""
+    rows, as (column_a, column_b, corr). A constant column gives null, not an error.
+
+    One pass: each partition reduces its rows to k*k moment rows with numpy (Arrow
+    batches), the partials are merged by a small aggregate (k*k groups). A single SQL
+    aggregate would need ~3 k^2 moment buffers, far beyond what whole-stage codegen takes.
+    """
     cols = list(cols or numeric_columns(df))
-    exprs, slots = [], []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if j < i:
-                continue
-            ca, cb = q(a).cast("double"), q(b).cast("double")
-            e = _pair_corr(ca, cb)
-            if i == j:
-                # diagonal: 1 unless the column is constant or has < 2 values
-                e = F.when(F.stddev_samp(F.when(~F.isnan(ca), ca)) > 0, F.lit(1.0))
-            exprs.append(e.alias(f"__p{i}_{j}"))
-            slots.append((i, j))
-    wide = df.agg(*exprs)
-    # both orders of every pair read the same aggregate column: one job, 2-D result
-    both = [(i, j) for i in range(len(cols)) for j in range(len(cols))]
-    square = wide.select(*[F.col(f"__p{min(i, j)}_{max(i, j)}").alias(f"__s{i}_{j}") for i, j in both])
-    long = square.unpivot([], [f"__s{i}_{j}" for i, j in both], "__slot", "corr")
-    pairs_a = F.create_map(*[x for i, j in both for x in (F.lit(f"__s{i}_{j}"), F.lit(cols[i]))])
-    pairs_b = F.create_map(*[x for i, j in both for x in (F.lit(f"__s{i}_{j}"), F.lit(cols[j]))])
-    val = F.bround("corr", digits) if digits is not None else F.col("corr")
-    return long.select(
-        pairs_a[F.col("__slot")].alias("column_a"), pairs_b[F.col("__slot")].alias("column_b"), val.alias("corr")
+    k = len(cols)
+    vals = df.select(*[q(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    part = vals.mapInPandas(
+        lambda it: _pair_moments(it, k),
+        "i int, j int, n double, mi double, mj double, m2i double, m2j double, c double",
+    )
+    tot = part.groupBy("i", "j").agg(
+        F.sum("n").alias("t_n"),
+        (F.sum(F.col("n") * F.col("mi")) / F.sum("n")).alias("t_mi"),
+        (F.sum(F.col("n") * F.col("mj")) / F.sum("n")).alias("t_mj"),
+    )
+    # k*k rows: bounded by the number of columns
+    di, dj = F.col("mi") - F.col("t_mi"), F.col("mj") - F.col("t_mj")
+    merged = part.join(F.broadcast(tot), ["i", "j"]).groupBy("i", "j").agg(
+        F.first("t_n").alias("t_n"),
+        F.sum(F.col("m2i") + F.col("n") * di * di).alias("t_m2i"),
+        F.sum(F.col("m2j") + F.col("n") * dj * dj).alias("t_m2j"),
+        F.sum(F.col("c") + F.col("n") * di * dj).alias("t_c"),
+    )
+    r = F.when(
+        (F.col("t_n") > 1) & (F.col("t_m2i") > 0) & (F.col("t_m2j") > 0),
+        F.col("t_c") / F.sqrt(F.col("t_m2i") * F.col("t_m2j")),
+    )
+    r = F.when(F.col("i") == F.col("j"), F.when(F.col("t_m2i") > 0, F.lit(1.0))).otherwise(r)
+    names = F.array(*[F.lit(c) for c in cols])
+    out = merged.select(
+        F.element_at(names, F.col("i") + 1).alias("column_a"),
+        F.element_at(names, F.col("j") + 1).alias("column_b"),
+        (F.bround(r, digits) if digits is not None else r).alias("corr"),
     )
+    return out
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None, digits: int | None = 3) -> DataFrame:
