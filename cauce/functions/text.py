@@ -19,12 +19,15 @@ def _c(col: ColumnOrName) -> Column:
 
 
 # --- X9 ------------------------------------------------------------------------------
-def trim_ws(col: ColumnOrName) -> Column:
-    """Strip leading/trailing Unicode whitespace (tab, NBSP, newline, ...).
+# Every character Python's str.strip() removes (str.isspace), generated from that rule.
+WHITESPACE = "".join(chr(cp) for cp in range(0x110000) if chr(cp).isspace())
 
-    ``F.trim`` only removes the ASCII space, so a Unicode-aware regex is used.
-    """
-    return F.regexp_replace(_c(col), r"(?U)^\s+|\s+$", "")
+
+def trim_ws(col: ColumnOrName) -> Column:
+    """Strip leading/trailing whitespace exactly as Python's ``str.strip()`` (tab, newline,
+    NBSP, ideographic space, ...). ``trim(BOTH chars FROM s)`` looks at the two ends only;
+    plain ``F.trim`` would remove the ASCII space alone."""
+    return F.trim(_c(col), F.lit(WHITESPACE))
 
 
 # --- X1 / X2 -------------------------------------------------------------------------
