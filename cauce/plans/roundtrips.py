@@ -150,16 +150,19 @@ def k3_csv_export(spark, sf):
 
 
 # ------------------------------------------------------------------ file-based jobs
-def render_inputs(spark: SparkSession, sf: str) -> Layout:
-    """Write the three raw inputs, rendered from the test tables, into a fresh layout.
+def render_inputs(spark: SparkSession, sf: str, sources=("renta", "delitos", "contact")) -> Layout:
+    """Write the raw inputs, rendered from the test tables, into a fresh layout.
     Rows are sorted by their business order so file order equals that order."""
     root = scratch_dir(spark, "inputs")
     lay = Layout(in_root=f"{root}/data", out_root=f"{root}/output")
-    income = income_raw(spark, sf).orderBy("_ord").drop("_ord")
-    write_csv(income, lay.csv("renta"), sep=";", encoding="ISO-8859-1")
-    write_with_preamble(crime_raw(spark, sf), lay.csv("delitos"), PREAMBLE, sep=";")
-    contact = contact_raw(spark, sf).orderBy("_ord").drop("_ord")
-    write_csv(contact, lay.csv("contact"), sep=";", encoding="ISO-8859-1")
+    if "renta" in sources:
+        income = income_raw(spark, sf).orderBy("_ord").drop("_ord")
+        write_csv(income, lay.csv("renta"), sep=";", encoding="ISO-8859-1")
+    if "delitos" in sources:
+        write_with_preamble(crime_raw(spark, sf), lay.csv("delitos"), PREAMBLE, sep=";")
+    if "contact" in sources:
+        contact = contact_raw(spark, sf).orderBy("_ord").drop("_ord")
+        write_csv(contact, lay.csv("contact"), sep=";", encoding="ISO-8859-1")
     return lay
 
 
@@ -193,3 +196,29 @@ def d6_full_run(spark, sf):
     casts = {"duration_call_mins": "double", "periodo_renta": "int", "renta_media": "double", "anio": "int",
              "tasa": "double", **{t: "int" for t in EVENT_TYPES}}
     return df.select(*[F.col(c).cast(casts[c]).alias(c) if c in casts else F.col(c) for c in df.columns])
+
+
+_CONTACT_TEXT_SQL = """
+SELECT 'b''' || CAST(user_id AS VARCHAR) || '''' AS sessionID,
+       CASE WHEN event_type <> 'view' THEN 'D' || CAST(event_id AS VARCHAR) END AS DNI,
+       CAST(600000000 + user_id AS VARCHAR) AS Telef,
+       CAST(user_id AS VARCHAR) AS CP,
+       value AS duration_call_mins,
+       event_type AS funnel_Q,
+       CASE WHEN event_type = 'purchase' THEN 'P' || CAST(CAST(floor(value) AS INTEGER) AS VARCHAR) END AS Producto
+FROM events
+"""
+
+
+@register("D1_stream_load", _CONTACT_TEXT_SQL)
+def d1_stream_load(spark, sf):
+    """The raw load of the rendered call-centre files as an available-now stream."""
+    from cauce.streaming.ingest import read_streamed_raw, stream_raw
+
+    lay = render_inputs(spark, sf, sources=("contact",))
+    query = stream_raw(spark, lay, "contact")
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    raw = read_streamed_raw(spark, lay, "contact").drop("_ord")
+    return raw.withColumn("duration_call_mins", F.col("duration_call_mins").cast("double"))

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from cauce.functions.text import NA_WORDS, null_markers
 
@@ -155,30 +156,26 @@ def read_delimited(
     return _apply_na(df.select(*cols), names, na_words)
 
 
-def locate_header(
-    spark: SparkSession,
-    path: str | Sequence[str],
-    token: str = "Municipio",
-    sep: str = ";",
-    max_scan: int = 300,
-    encoding: str = "ISO-8859-1",
-) -> DataFrame:
-    """Per file, the first of its first ``max_scan`` lines containing ``token`` and
-    ``sep``; the file's first line when none does.
+def header_table(lines: DataFrame, token: str | None, sep: str = ";", max_scan: int = 300) -> DataFrame:
+    """Per file of a line scan (``value``, ``_ord``): the first of its first ``max_scan``
+    lines containing ``token`` and ``sep``, else the file's first line (``token=None``:
+    always the first line). One row per file: ``file``, ``header_index`` (0-based among
+    non-blank lines), ``header`` and ``header_ord``.
 
-    Returns one row per file: ``file``, ``header_index`` (0-based among non-blank lines),
-    ``header`` (the line) and ``header_ord``. Only ``max_scan`` lines per file and split
-    survive the map side (a partial window limit), so the exchange is tiny.
+    Only first-split lines are ranked, and the ``row_number() <= max_scan`` filter becomes
+    a partial window-group limit before the exchange, so the shuffle carries at most
+    ``max_scan`` lines per file.
     """
-    lines = read_lines(spark, path, encoding).withColumn("file", F.col(f"{ORD}.file"))
-    # the first max_scan lines of a file live in its first split
-    first_split = lines.where(F.col(f"{ORD}.block") == 0)
+    first_split = lines.where(F.col(f"{ORD}.block") == 0).withColumn("file", F.col(f"{ORD}.file"))
     head = (
         first_split.withColumn("rn", F.row_number().over(_file_window()))
         .where(F.col("rn") <= max_scan)
         .withColumn("idx", F.col("rn") - 1)
     )
-    hit = F.col("value").contains(token) & F.col("value").contains(sep)
+    if token is None:
+        hit = F.col("idx") == 0
+    else:
+        hit = F.col("value").contains(token) & F.col("value").contains(sep)
     return head.groupBy("file").agg(
         F.coalesce(F.min(F.when(hit, F.col("idx"))), F.lit(0)).alias("header_index"),
         F.coalesce(
@@ -190,40 +187,50 @@ def locate_header(
     )
 
 
+def locate_header(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    token: str = "Municipio",
+    sep: str = ";",
+    max_scan: int = 300,
+    encoding: str = "ISO-8859-1",
+) -> DataFrame:
+    """Per file, the header line (see ``header_table``)."""
+    return header_table(read_lines(spark, path, encoding), token, sep, max_scan)
+
+
 def _file_window():
     from pyspark.sql import Window
 
     return Window.partitionBy("file").orderBy(ORD)
 
 
-def read_with_preamble(
-    spark: SparkSession,
-    path: str | Sequence[str],
-    token: str = "Municipio",
+def parse_lines(
+    lines: DataFrame,
+    token: str | None = "Municipio",
     sep: str = ";",
-    encoding: str = "ISO-8859-1",
     max_scan: int = 300,
     na_words: bool = True,
     max_files: int = 100_000,
 ) -> DataFrame:
-    """S3: skip everything above the header line of each file, then parse as S1.
-
-    The header table has one row per input file, so its size is bounded by the file list;
-    it is broadcast only after checking that count. Data lines are parsed with
-    ``from_csv`` (quotes doubled as in the writer); short rows give nulls, extra fields
-    are dropped. All files must share the first file's header.
-    """
-    headers = locate_header(spark, path, token, sep, max_scan, encoding)
+    """Turn a line scan into a table: per file, lines above and including the header are
+    dropped, the rest parsed with ``from_csv`` (quotes doubled as in the writer); short
+    rows give nulls, extra fields are dropped. All files must share the first file's
+    header. The header table has one row per file; its row count is checked before it is
+    broadcast, and only the header lines (one per file) reach the driver."""
+    headers = header_table(lines, token, sep, max_scan)
     info = headers.orderBy("header_ord").limit(max_files + 1).collect()
     if not info:
-        return spark.createDataFrame([], "`_empty` string")
+        return lines.sparkSession.createDataFrame([], "`_empty` string")
     if len(info) > max_files:
         raise ValueError(f"more than {max_files} input files; split the load")
     names = dedupe_names(split_header(info[0]["header"], sep))
-    schema = _string_schema(names)
     hdr = F.broadcast(headers.select("file", "header_ord"))
-    lines = read_lines(spark, path, encoding).withColumn("file", F.col(f"{ORD}.file"))
-    body = lines.join(hdr, "file").where(F.col(ORD) > F.col("header_ord"))
+    body = (
+        lines.withColumn("file", F.col(f"{ORD}.file"))
+        .join(hdr, "file")
+        .where(F.col(ORD) > F.col("header_ord"))
+    )
     ddl = ", ".join("`" + n.replace("`", "``") + "` STRING" for n in names)
     parsed = F.from_csv("value", ddl, {"sep": sep, "escape": '"', "quote": '"'})
     df = body.select(parsed.alias("r"), ORD).select(
@@ -232,6 +239,20 @@ def read_with_preamble(
     return _apply_na(df, names, na_words)
 
 
+def read_with_preamble(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    token: str = "Municipio",
+    sep: str = ";",
+    encoding: str = "ISO-8859-1",
+    max_scan: int = 300,
+    na_words: bool = True,
+    max_files: int = 100_000,
+) -> DataFrame:
+    """S3: skip everything above the header line of each file, then parse as S1."""
+    return parse_lines(read_lines(spark, path, encoding), token, sep, max_scan, na_words, max_files)
+
+
 def read_csv_default(
     spark: SparkSession, path: str, infer_types: bool = False, with_order: bool = False
 ) -> DataFrame:
@@ -240,24 +261,20 @@ def read_csv_default(
     ``infer_types`` asks Spark to infer column types (an extra pass over the data); the
     default keeps every column as text.
     """
-    _require_path(spark, path)
     reader = spark.read.option("header", "true").option("escape", '"').option("quote", '"')
     if infer_types:
         reader = reader.option("inferSchema", "true")
-    df = reader.csv(path)
+    try:
+        df = reader.csv(path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc):
+            raise FileNotFoundError(f"path does not exist: {path}") from exc
+        raise
     if with_order:
         df = df.select("*", order_column().alias(ORD))
     return df
 
 
-def _require_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        raise FileNotFoundError(f"path does not exist: {path}")
-
-
 def sniff_separator(
     spark: SparkSession,
     path: str,
@@ -323,7 +340,9 @@ __all__ = [
     "ORD",
     "dedupe_names",
     "header_columns_matching",
+    "header_table",
     "locate_header",
+    "parse_lines",
     "order_column",
     "preview_lines",
     "read_csv_default",
