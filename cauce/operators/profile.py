@@ -185,23 +185,25 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     """Equal-width histogram on [min, max]; the last bin is closed. Every bin is present
     (count 0 when empty). ``bin`` is 1-based; ``lo``/``hi`` are the bin edges.
 
-    min and max enter as scalar subqueries, so the plan is: one aggregate, then a partial
-    count per bin.
+    Two jobs: a one-row min/max aggregate (its two numbers become literals), then one
+    partial count per bin; the 30-row bin list joins the counts.
     """
     x = q(col).cast("double")
     vals = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    lo = vals.select(F.min("x")).scalar()
-    hi = vals.select(F.max("x")).scalar()
-    width = F.when(hi > lo, hi - lo).otherwise(F.lit(1.0))
-    start = F.when(hi > lo, lo).otherwise(lo - 0.5)
-    idx = F.floor((F.col("x") - start) * F.lit(float(bins)) / width) + 1
+    ends = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+    spark = df.sparkSession
+    if ends["lo"] is None:
+        return spark.createDataFrame([], "bin int, lo double, hi double, count long")
+    lo, hi = float(ends["lo"]), float(ends["hi"])
+    start, width = (lo, hi - lo) if hi > lo else (lo - 0.5, 1.0)
+    idx = F.floor((F.col("x") - F.lit(start)) * F.lit(float(bins)) / F.lit(width)) + 1
     counts = vals.select(F.least(idx, F.lit(bins)).cast("int").alias("bin")).groupBy("bin").count()
-    all_bins = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    all_bins = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
     out = all_bins.join(F.broadcast(counts), "bin", "left")
     return out.select(
         "bin",
-        (start + (F.col("bin") - 1) * width / bins).alias("lo"),
-        (start + F.col("bin") * width / bins).alias("hi"),
+        (F.lit(start) + (F.col("bin") - 1) * F.lit(width) / bins).alias("lo"),
+        (F.lit(start) + F.col("bin") * F.lit(width) / bins).alias("hi"),
         F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"),
     )
 

@@ -225,7 +225,15 @@ def parse_lines(
     if len(info) > max_files:
         raise ValueError(f"more than {max_files} input files; split the load")
     names = dedupe_names(split_header(info[0]["header"], sep))
-    hdr = F.broadcast(headers.select("file", "header_ord"))
+    # the collected header rows (one per file) become the broadcast side: no second pass
+    hdr = F.broadcast(
+        lines.sparkSession.createDataFrame(
+            [(r["file"], r["header_ord"]) for r in info],
+            T.StructType(
+                [T.StructField("file", T.StringType()), T.StructField("header_ord", lines.schema[ORD].dataType)]
+            ),
+        )
+    )
     body = (
         lines.withColumn("file", F.col(f"{ORD}.file"))
         .join(hdr, "file")
