@@ -84,19 +84,29 @@ def quantiles(
     method: str = "exact",
     buckets: int = 64,
     accuracy: int = 10_000,
+    max_sort_rows: int = 2_000_000,
+    max_levels: int = 8,
 ) -> DataFrame:
     """Quantiles of ``col`` per group with linear interpolation between order statistics
     (pandas/numpy default, SQL ``percentile_cont``). One row per group, one column per
-    probability.
-
-    Exact method, built so no task sorts a whole group:
-      1. count each distinct (group, value) - partial aggregation absorbs hot values;
-      2. an approximate sketch of the distinct values cuts each group into ``buckets``
-         ranges; each distinct value is tagged with its range;
-      3. per-range row counts give each range's starting rank (groups x buckets rows);
-      4. only ranges that contain a wanted rank are sorted, inside their own window
-         partition, to read the exact order statistics.
+    probability. ``method="approx"`` uses ``percentile_approx`` (bounded sketch).
+
+    The exact method is an iterative selection in which no task sorts more than
+    ``max_sort_rows`` distinct values, however large or skewed a group is:
+      1. count each distinct (group, value): partial aggregation absorbs hot values;
+      2. every wanted rank starts with the value interval [-inf, +inf] of its group and a
+         rank offset 0. While some interval holds more than ``max_sort_rows`` distinct
+         values, it is cut into ``buckets`` ranges by an approximate sketch; exact
+         per-range counts locate the range holding the rank, which becomes the new
+         interval (offset += rows before it). Intervals of a group are disjoint, so each
+         value row belongs to at most one of them;
+      3. the final small intervals are sorted in their own window partitions to read the
+         exact order statistics.
+    Per level the driver reads one number (the largest interval size); the per-level
+    target table (groups x probabilities rows) is checkpointed to cut the lineage.
     """
+    from cauce.session import checkpoint_root
+
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
     keys = list(by) or ["__g"]
     v = q(col).cast("double")
@@ -109,38 +119,55 @@ def quantiles(
         agg = base.groupBy(*keys).agg(F.percentile_approx("__v", list(probs), accuracy).alias("__q"))
         return agg.select(*by, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
 
+    checkpoint_root(df.sparkSession)
     vc = base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__w")).persist(StorageLevel.MEMORY_AND_DISK)
-    cuts = [i / buckets for i in range(1, buckets)]
-    bounds = vc.groupBy(*keys).agg(
-        F.percentile_approx("__v", cuts, accuracy).alias("__b"), F.sum("__w").alias("__n")
-    )
-    bounds_b, _ = broadcast_if_small(bounds)
-    tagged = (
-        vc.join(bounds_b.select(*keys, "__b"), keys)
-        .withColumn("__k", _rank_in(F.col("__v"), F.col("__b"), 0, buckets - 1))
-        .drop("__b")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    per_bucket = tagged.groupBy(*keys, "__k").agg(F.sum("__w").alias("__bw"))
-    offsets = per_bucket.withColumn(
-        "__off", F.sum("__bw").over(Window.partitionBy(*keys).orderBy("__k")) - F.col("__bw")
-    )
     prob_arr = F.array(*[F.lit(float(p)) for p in probs])
+    seg = ["__lo", "__hi"]
     targets = (
-        bounds_b.select(*keys, "__n", F.posexplode(prob_arr).alias("__i", "__p"))
+        vc.groupBy(*keys).agg(F.sum("__w").alias("__n"))
+        .select(*keys, F.posexplode(prob_arr).alias("__i", "__p"), "__n")
         .withColumn("__pos", (F.col("__n") - 1) * F.col("__p"))
         .withColumn("__r", F.explode(F.array_distinct(F.array(F.floor("__pos"), F.ceil("__pos")))))
         .withColumn("__r", F.col("__r").cast("long"))
+        .select(*keys, "__i", "__pos", "__r",
+                F.lit(float("-inf")).alias("__lo"), F.lit(float("inf")).alias("__hi"), F.lit(0).cast("long").alias("__off"))
+        .checkpoint()
     )
-    located = targets.join(offsets, keys).where(
-        (F.col("__r") >= F.col("__off")) & (F.col("__r") < F.col("__off") + F.col("__bw"))
-    )
-    wanted = located.select(*keys, "__k", "__off").distinct()
-    wanted_b, _ = broadcast_if_small(wanted)
-    cand = tagged.join(wanted_b, keys + ["__k"])
-    run = Window.partitionBy(*keys, "__k").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+
+    def candidates(tg: DataFrame) -> DataFrame:
+        segs, _ = broadcast_if_small(tg.select(*keys, *seg, "__off").distinct())
+        return vc.join(segs, keys).where((F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
+
+    for _ in range(max_levels):
+        cand = candidates(targets)
+        largest = cand.groupBy(*keys, *seg).count().agg(F.max("count")).first()[0] or 0
+        if largest <= max_sort_rows:
+            break
+        cuts = cand.groupBy(*keys, *seg).agg(
+            F.percentile_approx("__v", [i / buckets for i in range(1, buckets)], accuracy).alias("__b")
+        )
+        tagged = cand.join(F.broadcast(cuts), keys + seg).withColumn(
+            "__k", _rank_in(F.col("__v"), F.col("__b"), 0, buckets - 1)
+        )
+        per = tagged.groupBy(*keys, *seg, "__off", "__k").agg(
+            F.sum("__w").alias("__bw"), F.min("__v").alias("__bmin"), F.max("__v").alias("__bmax")
+        )
+        per = per.withColumn(
+            "__start", F.col("__off") + F.sum("__bw").over(Window.partitionBy(*keys, *seg).orderBy("__k")) - F.col("__bw")
+        )
+        targets = (
+            targets.drop("__off")
+            .join(per, keys + seg)
+            .where((F.col("__r") >= F.col("__start")) & (F.col("__r") < F.col("__start") + F.col("__bw")))
+            .select(*keys, "__i", "__pos", "__r",
+                    F.col("__bmin").alias("__lo"), F.col("__bmax").alias("__hi"), F.col("__start").alias("__off"))
+            .checkpoint()
+        )
+
+    cand = candidates(targets)
+    run = Window.partitionBy(*keys, *seg).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
     cand = cand.withColumn("__end", F.col("__off") + F.sum("__w").over(run))
-    picked = located.select(*keys, "__k", "__i", "__pos", "__r").join(cand.drop("__off"), keys + ["__k"]).where(
+    picked = targets.select(*keys, *seg, "__i", "__pos", "__r").join(cand.drop("__off"), keys + seg).where(
         (F.col("__r") >= F.col("__end") - F.col("__w")) & (F.col("__r") < F.col("__end"))
     )
     lo = F.min_by("__v", "__r")

@@ -26,9 +26,11 @@ def test_exact_quantiles_grouped(skewed):
     pdf, sdf = skewed
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
     names = [f"p{i}" for i in range(len(probs))]
-    got = {r["g"]: [r[n] for n in names] for r in profile.quantiles(sdf, "v", probs, by=["g"], names=names, buckets=8).collect()}
-    for key, grp in pdf.groupby("g"):
-        assert np.allclose(got[key], np.quantile(grp["v"], probs), rtol=0, atol=1e-9)
+    for limit in (2_000_000, 50, 3):  # no refinement, one level, several levels
+        q = profile.quantiles(sdf, "v", probs, by=["g"], names=names, buckets=4, max_sort_rows=limit)
+        got = {r["g"]: [r[n] for n in names] for r in q.collect()}
+        for key, grp in pdf.groupby("g"):
+            assert np.allclose(got[key], np.quantile(grp["v"], probs), rtol=0, atol=1e-9), limit
     (row,) = profile.quantiles(sdf, "w", [0.5], names=["m"]).collect()
     assert row["m"] == pytest.approx(np.nanquantile(pdf["w"], 0.5), abs=1e-9)
 
