@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from cauce.functions.text import ColumnOrName, _c
 
 # Decimal text accepted by a lenient numeric parse: optional sign, digits with an optional
-# fraction (or a bare fraction), optional exponent, surrounding blanks, or infinity.
-# Spark's cast alone would also accept Java float suffixes such as '1d' or '2f'.
-_DECIMAL = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
-_INFINITY = r"^\s*[+-]?(?i)(inf|infinity)\s*$"
+# fraction (or a bare fraction), optional exponent, or infinity; blanks around. Spark's
+# cast alone would also accept Java float suffixes such as '1d' or '2f' and hex floats.
+_NUMBER = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
 
 
 def to_double(col: ColumnOrName, decimal: str = ".") -> Column:
@@ -22,8 +21,7 @@ def to_double(col: ColumnOrName, decimal: str = ".") -> Column:
     c = _c(col).cast("string")
     if decimal != ".":
         c = F.translate(c, decimal, ".")
-    ok = c.rlike(_DECIMAL) | c.rlike(_INFINITY)
-    return F.when(ok, F.trim(c).try_cast("double"))
+    return F.when(c.rlike(_NUMBER), F.trim(c).try_cast("double"))
 
 
 def to_int(col: ColumnOrName) -> Column:
