@@ -830,5 +830,88 @@ def x15_na_words(spark, sf):
     return o.select("o_orderkey", X.null_markers(txt).alias("status"))
 
 
+
+# ------------------------------------------------------------------ helpers covered inside the jobs,
+# also checked on their own
+@register("X2_strip_code", "SELECT c_custkey, c_name FROM customer")
+def x2_strip_code(spark, sf):
+    c = table(spark, sf, "customer")
+    coded = F.concat(F.lpad(F.col("c_custkey").cast("string"), 5, "0"), F.lit("  "), F.col("c_name"))
+    return c.select("c_custkey", X.strip_code(coded).alias("c_name"))
+
+
+@register(
+    "X10_to_text",
+    "SELECT c_custkey, CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN CAST(c_nationkey AS VARCHAR) END AS nation_text "
+    "FROM customer",
+)
+def x10_to_text(spark, sf):
+    c = table(spark, sf, "customer")
+    v = F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_nationkey"))
+    return c.select("c_custkey", X.to_text(v).alias("nation_text"))
+
+
+@register(
+    "X11_zfill",
+    """
+SELECT p_partkey,
+       CASE WHEN length(CAST(p_partkey * 997 AS VARCHAR)) < 5 THEN lpad(CAST(p_partkey * 997 AS VARCHAR), 5, '0')
+            ELSE CAST(p_partkey * 997 AS VARCHAR) END AS padded
+FROM part
+""",
+)
+def x11_zfill(spark, sf):
+    p = table(spark, sf, "part")
+    return p.select("p_partkey", X.zfill((F.col("p_partkey") * 997).cast("string"), 5).alias("padded"))
+
+
+@register("X14_header_key", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+def x14_header_key(spark, sf):
+    # upper-case headers found through lower-cased aliases
+    c = table(spark, sf, "customer")
+    shouting = c.select(*[F.col(n).alias(n.upper()) for n in c.columns])
+    picked = [columns.resolve_column(shouting, [a]) for a in ("c_custkey", "c_name", "c_acctbal")]
+    return shouting.select(*[F.col(n).alias(n.lower()) for n in picked])
+
+
+_R5_COLS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@register(
+    "R5_transpose",
+    """
+WITH w AS (SELECT ["""
+    + ", ".join(f"'{a}|{b}'" for a in _R5_COLS for b in _R5_COLS)
+    + "] AS names, ["
+    + ", ".join(f"corr({a}, {b})" for a in _R5_COLS for b in _R5_COLS)
+    + """] AS vals FROM lineitem),
+     lng AS (SELECT split_part(n, '|', 1) AS a, split_part(n, '|', 2) AS b, r
+             FROM (SELECT unnest(names) AS n, unnest(vals) AS r FROM w) u)
+SELECT a AS "column", """
+    + ", ".join(f"round(max(CASE WHEN b = '{c}' THEN r END), 6) AS {c}" for c in _R5_COLS)
+    + """
+FROM lng GROUP BY a
+""",
+)
+def r5_transpose(spark, sf):
+    m = profile.correlation_matrix(table(spark, sf, "lineitem"), list(_R5_COLS), digits=None)
+    return m.select("column", *[r6(c).alias(c) for c in _R5_COLS])
+
+
+@register(
+    "S4_parquet_scan",
+    """
+SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_returnflag = 'R'
+""",
+)
+def s4_parquet_scan(spark, sf):
+    # column pruning and both predicates reach the Parquet reader (ReadSchema / PushedFilters)
+    li = table(spark, sf, "lineitem")
+    return li.where((F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz")) & (F.col("l_returnflag") == "R")).select(
+        "l_orderkey", "l_linenumber", "l_extendedprice"
+    )
+
+
 # round trips through files register themselves into the same catalogue
 from cauce.plans import roundtrips  # noqa: E402,F401

@@ -51,10 +51,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from the session; only when it is unset (local tests) a folder is created and
     registered. On a cluster the setting must point at shared storage (HDFS, S3, ...).
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        sc = None
+    root = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="cauce-ckpt-")
+        if sc is None:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir()
     return root.rstrip("/")
