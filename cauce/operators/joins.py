@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cauce.session import persist_for_job
+
 # Largest side we broadcast after measuring it (bytes of UnsafeRow data).
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -49,7 +50,7 @@ def broadcast_if_small(
     so the measurement and the join read it once. Returns (df, broadcast?).
     """
     if persist:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        df = persist_for_job(df)
     _, nbytes = measured_size(df)
     if nbytes <= max_bytes:
         return F.broadcast(df), True

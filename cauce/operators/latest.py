@@ -68,14 +68,14 @@ def with_row_number(df: DataFrame, order: Sequence[str | Column], name: str = "r
     offset. The sorted rows are persisted so both uses see the same partitioning.
     ``order`` must be a total order (end it with a unique key) for a deterministic result.
     """
-    from pyspark import StorageLevel
+    from cauce.session import persist_for_job
 
     sorted_df = (
         df.orderBy(*[_as_col(o) for o in order])
         .withColumn("__pid", F.spark_partition_id())
         .withColumn("__mid", F.monotonically_increasing_id())
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    sorted_df = persist_for_job(sorted_df)
     counts = sorted_df.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
     offsets = counts.withColumn(
         "__off", F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n")

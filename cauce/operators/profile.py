@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cauce.operators.columns import numeric_columns, q
 from cauce.operators.joins import broadcast_if_small
+from cauce.session import persist_for_job
 
 
 # --- P9 ------------------------------------------------------------------------------
@@ -120,7 +120,7 @@ def quantiles(
         return agg.select(*by, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
 
     checkpoint_root(df.sparkSession)
-    vc = base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__w")).persist(StorageLevel.MEMORY_AND_DISK)
+    vc = persist_for_job(base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__w")))
     prob_arr = F.array(*[F.lit(float(p)) for p in probs])
     seg = ["__lo", "__hi"]
     targets = (

@@ -23,15 +23,16 @@ from cauce.operators.reshape import flag_columns, flag_names, pivot_values, unpi
 from cauce.sources.delimited import ORD, read_delimited, read_with_preamble
 from cauce.sources.layout import SOURCES, Layout
 from cauce.sources.sinks import write_csv, write_parquet
+from cauce.session import release_persisted
 
 # Header names the income cleaning recognises.
 INCOME_MUNI_ALIASES = ("municipios",)
 INCOME_PERIOD_ALIASES = ("periodo", "año", "anio")
 INCOME_TOTAL_NAMES = ("total", "total ", "renta neta media por persona", "renta_media", "total,")
-# Session attributes and how each is reduced per session.
-SESSION_FIRST = ("DNI", "Telef", "CP")
+# Session attributes in output order; those in SESSION_MAX take the maximum,
+# the others the first non-null value in file order.
+SESSION_ATTRIBUTES = ("DNI", "Telef", "CP", "duration_call_mins", "Producto")
 SESSION_MAX = ("duration_call_mins",)
-SESSION_LAST_FIRST = ("Producto",)
 
 
 def _data_columns(df: DataFrame) -> list[str]:
@@ -124,7 +125,7 @@ def clean_sessions(
         prepared = prepared.withColumn("duration_call_mins", to_double(q("duration_call_mins")))
     prepared = prepared.where(F.col("sessionID").isNotNull())
     attrs, names = [], []
-    for c in ("DNI", "Telef", "CP", "duration_call_mins", "Producto"):
+    for c in SESSION_ATTRIBUTES:
         if c not in cols:
             continue
         names.append(c)
@@ -188,13 +189,19 @@ def integrate(
 def clean_task(spark: SparkSession, layout: Layout, source: str) -> str:
     raw = spark.read.parquet(layout.raw(source))
     fn = {"renta": clean_income, "delitos": clean_crime, "contact": clean_sessions}[source]
-    return write_parquet(fn(raw), layout.clean(source))
+    try:
+        return write_parquet(fn(raw), layout.clean(source))
+    finally:
+        release_persisted()
 
 
 def integrate_task(spark: SparkSession, layout: Layout, single_file: bool = False) -> str:
     read = lambda s: spark.read.parquet(layout.clean(s))
-    final = integrate(read("contact"), read("renta"), read("delitos"))
-    return write_csv(final, layout.final(), single_file=single_file)
+    try:
+        final = integrate(read("contact"), read("renta"), read("delitos"))
+        return write_csv(final, layout.final(), single_file=single_file)
+    finally:
+        release_persisted()
 
 
 def run_all(spark: SparkSession, layout: Layout, source: str = "all") -> str:

@@ -72,3 +72,26 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         local = root[len("file:"):]
         os.makedirs(local, exist_ok=True)
     return f"{root}/cauce-{name}-{uuid.uuid4().hex[:12]}"
+
+
+# DataFrames the library persisted for reuse inside one job (measured join sides, sorted
+# rows, value counts). Job wrappers release them once their output is written.
+_PERSISTED: list = []
+
+
+def persist_for_job(df):
+    """Persist (memory, spilling to disk; recomputed from lineage if an executor is lost)
+    and remember the DataFrame for ``release_persisted``."""
+    from pyspark import StorageLevel
+
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(out)
+    return out
+
+
+def release_persisted() -> int:
+    """Unpersist everything ``persist_for_job`` kept; returns how many were released."""
+    n = len(_PERSISTED)
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist(blocking=False)
+    return n
