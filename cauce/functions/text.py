@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 ColumnOrName = Column | str
 
@@ -113,14 +115,38 @@ def fold_accents(col: ColumnOrName) -> Column:
     return F.translate(c, _FOLD_FROM, _FOLD_TO)
 
 
-def fold_upper(col: ColumnOrName) -> Column:
+def fold_upper(col: ColumnOrName, exact: bool = False) -> Column:
     """Join key for names: accent fold, trim, upper case; null becomes ``""``.
 
     ``upper`` follows full case mapping (``ß`` -> ``SS``), like Python's ``str.upper``.
+    The default runs inside the JVM and folds Latin scripts (U+0000-U+024F plus combining
+    marks). ``exact=True`` applies full Unicode NFKD through a vectorised pandas UDF, for
+    keys in other scripts; it is the slow path (Arrow batches to Python workers).
     """
+    if exact:
+        return _fold_upper_udf(_c(col))
     return F.coalesce(F.upper(trim_ws(fold_accents(col))), F.lit(""))
 
 
+_COMBINING = None
+
+
+def _fold_upper_series(s):
+    """pandas side of ``fold_upper(exact=True)``: NFKD, drop combining marks, strip, upper."""
+    global _COMBINING
+    if _COMBINING is None:
+        import sys
+
+        _COMBINING = {cp: None for cp in range(sys.maxunicode + 1) if unicodedata.combining(chr(cp))}
+    folded = s.str.normalize("NFKD").str.translate(_COMBINING).str.strip().str.upper()
+    return folded.fillna("")
+
+
+@F.pandas_udf(StringType())
+def _fold_upper_udf(s: pd.Series) -> pd.Series:
+    return _fold_upper_series(s)
+
+
 # --- X15 -----------------------------------------------------------------------------
 # The default missing-value words of the pandas CSV reader, which the
 # reference applies implicitly at every text load.

@@ -107,9 +107,13 @@ def lookup_join(
     rename: dict[str, str] | None = None,
     broadcast: str = "auto",
     max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+    check_unique: bool = False,
 ) -> DataFrame:
     """N:1 left join against a table with at most one row per ``key`` (e.g. the output
-    of ``latest_per_key``), then rename the attached columns."""
+    of ``latest_per_key``), then rename the attached columns. ``check_unique`` verifies the
+    right key first (one partial aggregate job) and raises on a duplicate."""
+    if check_unique:
+        assert_unique(right, key)
     out = left_join(left, right, key, broadcast=broadcast, max_broadcast_bytes=max_broadcast_bytes)
     return out.withColumnsRenamed(rename or {})
 

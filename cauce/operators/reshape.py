@@ -17,14 +17,6 @@ from cauce.functions.numbers import to_double, to_int
 from cauce.operators.columns import q
 
 YEAR_PATTERN = r"\d{4}"
-LONG_SCHEMA = T.StructType(
-    [
-        T.StructField("municipio", T.StringType(), True),
-        T.StructField("anio", T.IntegerType(), True),
-        T.StructField("tipo_delito", T.StringType(), True),
-        T.StructField("tasa", T.DoubleType(), True),
-    ]
-)
 
 
 def unpivot_columns(
@@ -51,6 +43,7 @@ def unpivot_years(
     kind_name: str = "tipo_delito",
     kind: str = "total",
     spark: SparkSession | None = None,
+    decimal: str = ".",
 ) -> DataFrame:
     """Columns whose whole name matches ``pattern`` become rows
     ``(id, year:int, kind, value:double)``; rows with a null year are dropped, null values
@@ -73,7 +66,7 @@ def unpivot_years(
         q(id_col).alias(id_col),
         to_int(F.col("_var")).alias(var_name),
         F.lit(kind).alias(kind_name),
-        to_double(F.col("_val")).alias(value_name),
+        to_double(F.col("_val"), decimal).alias(value_name),
     ).where(F.col(var_name).isNotNull())
 
 

@@ -66,13 +66,21 @@ def load_raw(
 
 
 # --- D2 ------------------------------------------------------------------------------
-def clean_income(raw: DataFrame) -> DataFrame:
+def clean_income(raw: DataFrame, indicator: str | None = None) -> DataFrame:
     """(codigo_postal, municipio, periodo:int, renta_media:double, _ord).
 
     Municipality column by name (else the first column, code kept in the name); period
     by ``periodo``/``año``/``anio``; amount by the total-name list (else the last
     column), parsed as a Spanish-formatted number. Rows without a 5-digit code are dropped.
+    ``indicator`` keeps only rows whose indicator column (first header starting with
+    ``indicador``) equals that text; by default every indicator row is kept and, per postal
+    code and period, the last one in file order wins downstream.
     """
+    if indicator is not None:
+        ind = next((c for c in raw.columns if c.strip().lower().startswith("indicador")), None)
+        if ind is None:
+            raise KeyError("no indicator column to filter on")
+        raw = raw.where(trim_ws(q(ind)) == indicator)
     view = raw.select(*[q(c) for c in _data_columns(raw)])
     muni = resolve_column(view, INCOME_MUNI_ALIASES)
     period = resolve_column(view, INCOME_PERIOD_ALIASES)
@@ -94,12 +102,13 @@ def clean_income(raw: DataFrame) -> DataFrame:
 
 
 # --- D3 ------------------------------------------------------------------------------
-def clean_crime(raw: DataFrame) -> DataFrame:
-    """D3: wide crime table -> (municipio, anio:int, tipo_delito='total', tasa:double)."""
+def clean_crime(raw: DataFrame, decimal: str = ".") -> DataFrame:
+    """D3: wide crime table -> (municipio, anio:int, tipo_delito='total', tasa:double).
+    ``decimal=","`` reads rates such as ``"2,5"``; by default they become null."""
     view = raw.select(*[q(c) for c in _data_columns(raw)])
     first = view.columns[0]
     named = view.withColumnRenamed(first, "municipio").withColumn("municipio", trim_ws(q("municipio")))
-    return unpivot_years(named, "municipio")
+    return unpivot_years(named, "municipio", decimal=decimal)
 
 
 # --- D4 ------------------------------------------------------------------------------
@@ -108,11 +117,13 @@ def clean_sessions(
     flag_values: Sequence[str] | None = None,
     flag_prefix: str | None = None,
     order: str = ORD,
+    decimal: str = ".",
 ) -> DataFrame:
     """One row per session: attributes plus one 0/1 column per answer value.
 
     ``DNI``, ``Telef``, ``CP``, ``Producto``: first non-null value in ``order``;
     ``duration_call_mins``: maximum. Flags are null for a session without any answer.
+    ``decimal=","`` reads durations such as ``"2,5"`` (default: null).
     Absent attribute columns are skipped; ``sessionID`` is required. Everything is one
     aggregate, i.e. a single shuffle on ``sessionID`` with map-side partial aggregation.
     """
@@ -122,7 +133,7 @@ def clean_sessions(
     if "CP" in cols:
         prepared = prepared.withColumn("CP", postcode(q("CP")))
     if "duration_call_mins" in cols:
-        prepared = prepared.withColumn("duration_call_mins", to_double(q("duration_call_mins")))
+        prepared = prepared.withColumn("duration_call_mins", to_double(q("duration_call_mins"), decimal))
     prepared = prepared.where(F.col("sessionID").isNotNull())
     attrs, names = [], []
     for c in SESSION_ATTRIBUTES:

@@ -60,3 +60,33 @@ def test_zfill_and_round(spark):
     assert _eval(spark, ["1", "123456", None], lambda c: X.zfill(c, 5)) == ["00001", "123456", None]
     got = _eval(spark, [2.345, 2.355, 2.5], lambda c: N.round_to(c.cast("decimal(10,3)"), 2), "double")
     assert [float(v) for v in got] == [2.34, 2.36, 2.5]
+
+
+def test_fold_upper_exact_matches_fast_on_latin_and_handles_other_scripts(spark):
+    vals = ["Alcalá de Henares", "ñandú", "Straße", None, " Ávila ", "Łódź", "Ελλάδα", "Tiếng Việt"]
+    fast = _eval(spark, vals[:5], X.fold_upper)
+    exact = _eval(spark, vals, lambda c: X.fold_upper(c, exact=True))
+    assert exact[:5] == fast
+    assert exact[6:] == ["ΕΛΛΑΔΑ", "TIENG VIET"]
+
+
+def test_decimal_comma_options(spark):
+    from cauce.plans import etl
+
+    raw = spark.createDataFrame([("b'A'", "2,5", 1)], "sessionID string, duration_call_mins string, _ord long")
+    assert etl.clean_sessions(raw).first()["duration_call_mins"] is None
+    assert etl.clean_sessions(raw, decimal=",").first()["duration_call_mins"] == 2.5
+    wide = spark.createDataFrame([("M", "2,5")], "Municipio string, `2020` string")
+    assert etl.clean_crime(wide, decimal=",").first()["tasa"] == 2.5
+
+
+def test_income_indicator_filter(spark):
+    from cauce.plans import etl
+
+    raw = spark.createDataFrame(
+        [("28001 A", "Renta neta media por persona", "2020", "10", 1), ("28001 A", "Renta bruta", "2020", "20", 2)],
+        "Municipios string, `Indicadores de renta media y mediana` string, Periodo string, Total string, _ord long",
+    )
+    assert etl.clean_income(raw).count() == 2
+    kept = etl.clean_income(raw, indicator="Renta neta media por persona").collect()
+    assert [r["renta_media"] for r in kept] == [10.0]
