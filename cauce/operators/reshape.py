@@ -9,9 +9,8 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cauce.functions.numbers import to_double, to_int
 from cauce.operators.columns import q
@@ -42,7 +41,6 @@ def unpivot_years(
     value_name: str = "tasa",
     kind_name: str = "tipo_delito",
     kind: str = "total",
-    spark: SparkSession | None = None,
     decimal: str = ".",
 ) -> DataFrame:
     """Columns whose whole name matches ``pattern`` become rows
@@ -50,17 +48,14 @@ def unpivot_years(
     kept. No matching column gives the empty four-column table."""
     rx = re.compile(pattern)
     years = [c for c in df.columns if rx.fullmatch(c)]
-    out_schema = T.StructType(
-        [
-            T.StructField(id_col, T.StringType(), True),
-            T.StructField(var_name, T.IntegerType(), True),
-            T.StructField(kind_name, T.StringType(), True),
-            T.StructField(value_name, T.DoubleType(), True),
-        ]
-    )
     if not years:
-        session = spark or df.sparkSession
-        return session.createDataFrame([], out_schema)
+        # the same four typed columns, derived from the input with no rows
+        return df.where(F.lit(False)).select(
+            q(id_col).cast("string").alias(id_col),
+            F.lit(None).cast("int").alias(var_name),
+            F.lit(None).cast("string").alias(kind_name),
+            F.lit(None).cast("double").alias(value_name),
+        )
     long = unpivot_columns(df, [id_col], years, "_var", "_val")
     return long.select(
         q(id_col).alias(id_col),
