@@ -139,3 +139,21 @@ def test_layout_precedence(monkeypatch):
     monkeypatch.setenv("DATA_OUT_DIR", "/o")
     assert Layout.resolve().raw("renta") == "/o/raw/renta_RAW.parquet"
     assert Layout.resolve(in_root="/i").csv("contact") == "/i/contac_center_data.csv"
+
+
+def test_join_helpers(spark):
+    from cauce.operators import joins
+    from cauce.operators.latest import with_row_number
+
+    left = spark.createDataFrame([("a", 1), (None, 2), ("c", 3)], "k string, x int")
+    right = spark.createDataFrame([("a", 10), (None, 20)], "k string, y int")
+    plain = {r["x"]: r["y"] for r in joins.left_join(left, right, "k").collect()}
+    safe = {r["x"]: r["y"] for r in joins.left_join(left, right, "k", null_safe=True).collect()}
+    assert plain == {1: 10, 2: None, 3: None} and safe == {1: 10, 2: 20, 3: None}
+    dup = spark.createDataFrame([("a", 1), ("a", 2)], "k string, y int")
+    with pytest.raises(ValueError):
+        joins.lookup_join(left, dup, "k", check_unique=True)
+    ranked = with_row_number(spark.range(1000).selectExpr("id % 7 AS g", "id"), ["g", "id"]).collect()
+    assert sorted(r["rank"] for r in ranked) == list(range(1, 1001))
+    first = min(ranked, key=lambda r: r["rank"])
+    assert (first["g"], first["id"]) == (0, 0)

@@ -84,3 +84,16 @@ def test_reports(skewed, spark):
     schema = {r["column"]: (r["dtype"], r["non_null"]) for r in profile.schema_report(sdf).collect()}
     assert schema["w"] == ("double", int(pdf["w"].notna().sum()))
     assert profile.scatter_pairs(sdf, "v", "w").count() == int(pdf["w"].notna().sum())
+
+
+def test_approx_quantiles_close(skewed):
+    pdf, sdf = skewed
+    (row,) = profile.quantiles(sdf, "v", [0.5], names=["m"], method="approx").collect()
+    assert abs(row["m"] - np.quantile(pdf["v"], 0.5)) <= 1.0
+
+
+def test_boxplot_outlier_rows(skewed):
+    pdf, sdf = skewed
+    stats = {r["g"]: r["n_outliers"] for r in profile.boxplot_stats(sdf, "v", "g").collect()}
+    rows = profile.boxplot_outliers(sdf, "v", "g").groupBy("g").count().collect()
+    assert {r["g"]: r["count"] for r in rows} == {k: v for k, v in stats.items() if v}
