@@ -75,6 +75,20 @@ def _rank_in(v: Column, bounds: Column, lo: int, hi: int) -> Column:
     return F.when(v > bounds[mid], _rank_in(v, bounds, mid + 1, hi)).otherwise(_rank_in(v, bounds, lo, mid))
 
 
+def value_counts(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
+    """(group..., ``__v``, ``__w``): each distinct non-null, non-NaN value of ``col`` per
+    group with its row count, persisted for reuse. Partial aggregation collapses hot
+    values before the shuffle; every statistic below is computed from this table, so the
+    source is scanned once. Without ``by`` the group is a constant ``__g``."""
+    v = q(col).cast("double")
+    base = df.select(*[q(g).alias(g) for g in by], v.alias("__v"))
+    if not by:
+        base = base.withColumn("__g", F.lit(0))
+    base = base.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    keys = list(by) or ["__g"]
+    return persist_for_job(base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__w")))
+
+
 def quantiles(
     df: DataFrame,
     col: str,
@@ -89,38 +103,51 @@ def quantiles(
 ) -> DataFrame:
     """Quantiles of ``col`` per group with linear interpolation between order statistics
     (pandas/numpy default, SQL ``percentile_cont``). One row per group, one column per
-    probability. ``method="approx"`` uses ``percentile_approx`` (bounded sketch).
-
-    The exact method is an iterative selection in which no task sorts more than
-    ``max_sort_rows`` distinct values, however large or skewed a group is:
-      1. count each distinct (group, value): partial aggregation absorbs hot values;
-      2. every wanted rank starts with the value interval [-inf, +inf] of its group and a
-         rank offset 0. While some interval holds more than ``max_sort_rows`` distinct
-         values, it is cut into ``buckets`` ranges by an approximate sketch; exact
-         per-range counts locate the range holding the rank, which becomes the new
-         interval (offset += rows before it). Intervals of a group are disjoint, so each
-         value row belongs to at most one of them;
-      3. the final small intervals are sorted in their own window partitions to read the
-         exact order statistics.
-    Per level the driver reads one number (the largest interval size); the per-level
-    target table (groups x probabilities rows) is checkpointed to cut the lineage.
-    """
-    from cauce.session import checkpoint_root
-
+    probability. ``method="approx"`` uses ``percentile_approx`` (bounded sketch); the
+    exact method is ``quantiles_from_counts`` over ``value_counts``."""
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
     keys = list(by) or ["__g"]
-    v = q(col).cast("double")
-    base = df.select(*[q(g).alias(g) for g in by], v.alias("__v"))
-    if not by:
-        base = base.withColumn("__g", F.lit(0))
-    base = base.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-
     if method == "approx":
+        v = q(col).cast("double")
+        base = df.select(*[q(g).alias(g) for g in by], v.alias("__v"))
+        if not by:
+            base = base.withColumn("__g", F.lit(0))
+        base = base.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
         agg = base.groupBy(*keys).agg(F.percentile_approx("__v", list(probs), accuracy).alias("__q"))
         return agg.select(*by, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
+    vc = value_counts(df, col, by)
+    out = quantiles_from_counts(vc, keys, probs, names, buckets, accuracy, max_sort_rows, max_levels)
+    return out.select(*by, *names)
+
 
-    checkpoint_root(df.sparkSession)
-    vc = persist_for_job(base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__w")))
+def quantiles_from_counts(
+    vc: DataFrame,
+    keys: Sequence[str],
+    probs: Sequence[float],
+    names: Sequence[str],
+    buckets: int = 64,
+    accuracy: int = 10_000,
+    max_sort_rows: int = 2_000_000,
+    max_levels: int = 8,
+) -> DataFrame:
+    """Exact quantiles from a value-count table, by iterative selection; no task sorts
+    more than ``max_sort_rows`` distinct values, however large or skewed a group is:
+      1. every wanted rank starts with the value interval [-inf, +inf] of its group and a
+         rank offset 0;
+      2. while some interval holds more than ``max_sort_rows`` distinct values, it is cut
+         into ``buckets`` ranges by an approximate sketch; exact per-range counts locate
+         the range holding the rank, which becomes the new interval (offset += rows
+         before it). Intervals of a group are disjoint, so each value row belongs to at
+         most one of them;
+      3. the final small intervals are sorted in their own window partitions to read the
+         exact order statistics, then neighbours are interpolated.
+    Per level the driver reads one number (the largest interval size); the per-level
+    target table (groups x probabilities rows) is checkpointed to cut the lineage.
+    """
+    from cauce.session import checkpoint_root
+
+    keys = list(keys)
+    checkpoint_root(vc.sparkSession)
     prob_arr = F.array(*[F.lit(float(p)) for p in probs])
     seg = ["__lo", "__hi"]
     targets = (
@@ -174,20 +201,20 @@ def quantiles(
     hi = F.max_by("__v", "__r")
     frac = F.first("__pos") - F.min("__r")
     per_prob = picked.groupBy(*keys, "__i").agg((lo + (hi - lo) * frac).alias("__q"))
-    out = per_prob.groupBy(*keys).agg(
+    return per_prob.groupBy(*keys).agg(
         *[F.max(F.when(F.col("__i") == i, F.col("__q"))).alias(n) for i, n in enumerate(names)]
     )
-    return out.select(*by, *names)
 
 
 # --- A8 ------------------------------------------------------------------------------
 def describe(
     df: DataFrame, cols: Sequence[str] | None = None, method: str = "exact"
 ) -> DataFrame:
-    """Per numeric column: count, mean, sample std, min, 25/50/75 % quantiles, max.
+    """Per numeric column: count, mean, sample std, min, 25/50/75 % quantiles, max
+    (NaN and null skipped, as pandas does).
 
-    The columns are stacked into (column, value) rows (no shuffle), so all statistics of
-    all columns come from one grouped aggregate plus one quantile pass.
+    The columns are stacked into (column, value) rows (no shuffle): one grouped aggregate
+    gives the moments of all columns, one value-count table gives all exact quantiles.
     """
     cols = list(cols or numeric_columns(df))
     long = df.select(
@@ -195,14 +222,18 @@ def describe(
     ).unpivot([], [f"__c{i}" for i in range(len(cols))], "__slot", "__x")
     names = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(f"__c{i}"), F.lit(c))])
     long = long.select(names[F.col("__slot")].alias("column"), F.col("__x").alias("x"))
+    stat_names = ["p25", "p50", "p75"]
+    # moments with Spark's own aggregates over the stacked rows (partial per partition);
+    # summing per distinct value instead would change the floating summation order
+    x = F.when(~F.isnan("x"), F.col("x"))  # NaN counts as missing, as in pandas
     basic = long.groupBy("column").agg(
-        F.count("x").alias("count"),
-        F.avg("x").alias("mean"),
-        F.stddev_samp("x").alias("std"),
-        F.min("x").alias("min"),
-        F.max("x").alias("max"),
+        F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+        F.min(x).alias("min"), F.max(x).alias("max"),
     )
-    qs = quantiles(long, "x", [0.25, 0.5, 0.75], by=["column"], names=["p25", "p50", "p75"], method=method)
+    if method == "approx":
+        qs = quantiles(long, "x", [0.25, 0.5, 0.75], by=["column"], names=stat_names, method="approx")
+    else:
+        qs = quantiles_from_counts(value_counts(long, "x", by=["column"]), ["column"], [0.25, 0.5, 0.75], stat_names)
     out = basic.join(qs, "column", "left")
     return out.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
@@ -239,25 +270,27 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
 def boxplot_stats(df: DataFrame, value: str, by: str, whisker: float = 1.5, method: str = "exact") -> DataFrame:
     """Per group: n, Q1, median, Q3, whiskers (most extreme points inside
     ``whisker`` x IQR of the quartiles) and the number of outliers. Null groups and null
-    values are left out."""
-    data = df.select(q(by).alias(by), q(value).cast("double").alias("v")).where(
-        F.col(by).isNotNull() & F.col("v").isNotNull()
-    )
-    qs = quantiles(data, "v", [0.25, 0.5, 0.75], by=[by], names=["q1", "median", "q3"], method=method)
-    qs = qs.withColumn("__lf", F.col("q1") - whisker * (F.col("q3") - F.col("q1"))).withColumn(
-        "__uf", F.col("q3") + whisker * (F.col("q3") - F.col("q1"))
-    )
+    values are left out. Everything comes from the per-group value-count table (one scan
+    of the source); the quartile table (one row per group) is broadcast after measuring."""
+    data = df.where(q(by).isNotNull())
+    vc = value_counts(data, value, by=[by])
+    names = ["q1", "median", "q3"]
+    if method == "approx":
+        qs = quantiles(data, value, [0.25, 0.5, 0.75], by=[by], names=names, method="approx")
+    else:
+        qs = quantiles_from_counts(vc, [by], [0.25, 0.5, 0.75], names)
+    iqr = F.col("q3") - F.col("q1")
+    qs = qs.withColumn("__lf", F.col("q1") - whisker * iqr).withColumn("__uf", F.col("q3") + whisker * iqr)
     qs_b, _ = broadcast_if_small(qs)
-    j = data.join(qs_b, by)
-    inside = (F.col("v") >= F.col("__lf")) & (F.col("v") <= F.col("__uf"))
-    return j.groupBy(by).agg(
-        F.count(F.lit(1)).alias("n"),
+    inside = (F.col("__v") >= F.col("__lf")) & (F.col("__v") <= F.col("__uf"))
+    return vc.join(qs_b, by).groupBy(by).agg(
+        F.sum("__w").alias("n"),
         F.first("q1").alias("q1"),
         F.first("median").alias("median"),
         F.first("q3").alias("q3"),
-        F.min(F.when(inside, F.col("v"))).alias("whisker_lo"),
-        F.max(F.when(inside, F.col("v"))).alias("whisker_hi"),
-        F.count_if(~inside).alias("n_outliers"),
+        F.min(F.when(inside, F.col("__v"))).alias("whisker_lo"),
+        F.max(F.when(inside, F.col("__v"))).alias("whisker_hi"),
+        F.coalesce(F.sum(F.when(~inside, F.col("__w"))), F.lit(0)).alias("n_outliers"),
     )
 
 

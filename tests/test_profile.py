@@ -97,3 +97,10 @@ def test_boxplot_outlier_rows(skewed):
     stats = {r["g"]: r["n_outliers"] for r in profile.boxplot_stats(sdf, "v", "g").collect()}
     rows = profile.boxplot_outliers(sdf, "v", "g").groupBy("g").count().collect()
     assert {r["g"]: r["count"] for r in rows} == {k: v for k, v in stats.items() if v}
+
+
+def test_describe_keeps_all_null_column(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, None), (float("nan"), None)], "a double, b double")
+    rows = {r["column"]: r for r in profile.describe(df).collect()}
+    assert rows["a"]["count"] == 2 and rows["a"]["mean"] == 1.5
+    assert rows["b"]["count"] == 0 and rows["b"]["mean"] is None and rows["b"]["p50"] is None
