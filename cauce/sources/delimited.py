@@ -9,10 +9,9 @@ itself, before any shuffle, and is persisted into the raw Parquet so later "firs
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -118,7 +117,9 @@ def read_delimited(
     na_words: bool = True,
     multiline: bool = False,
 ) -> DataFrame:
-    """Delimited text, all columns ``string``, header names de-duplicated.
+    """Delimited text, all columns ``string``, header names de-duplicated. Every file
+    starts with the same header line (Spark drops it from each file); the names are read
+    from one line of one split.
 
     ``na_words`` turns the reader's usual missing-value words into null (X15).
     ``multiline`` allows quoted line breaks but makes each file one split.
@@ -200,8 +201,6 @@ def locate_header(
 
 
 def _file_window():
-    from pyspark.sql import Window
-
     return Window.partitionBy("file").orderBy(ORD)
 
 
@@ -332,22 +331,14 @@ def preview_lines(
 
 
 def _global_order():
-    from pyspark.sql import Window
-
+    # only ever applied to the n rows left after the top-k
     return Window.orderBy(ORD)
 
 
-def header_columns_matching(columns: Sequence[str], pattern: str) -> list[str]:
-    """Columns whose whole name matches ``pattern`` (P5)."""
-    rx = re.compile(pattern)
-    return [c for c in columns if rx.fullmatch(str(c))]
-
-
 __all__ = [
     "NA_WORDS",
     "ORD",
     "dedupe_names",
-    "header_columns_matching",
     "header_table",
     "locate_header",
     "parse_lines",
