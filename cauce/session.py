@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -75,8 +76,15 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 # DataFrames the library persisted for reuse inside one job (measured join sides, sorted
-# rows, value counts). Job wrappers release them once their output is written.
-_PERSISTED: list = []
+# rows, value counts), per thread, so concurrent jobs release only their own. Job wrappers
+# release them once their output is written.
+_LOCAL = threading.local()
+
+
+def _persisted() -> list:
+    if not hasattr(_LOCAL, "items"):
+        _LOCAL.items = []
+    return _LOCAL.items
 
 
 def persist_for_job(df):
@@ -85,13 +93,14 @@ def persist_for_job(df):
     from pyspark import StorageLevel
 
     out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(out)
+    _persisted().append(out)
     return out
 
 
 def release_persisted() -> int:
-    """Unpersist everything ``persist_for_job`` kept; returns how many were released."""
-    n = len(_PERSISTED)
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist(blocking=False)
+    """Unpersist everything this thread's ``persist_for_job`` kept; returns the count."""
+    items = _persisted()
+    n = len(items)
+    while items:
+        items.pop().unpersist(blocking=False)
     return n

@@ -157,3 +157,13 @@ def test_join_helpers(spark):
     assert sorted(r["rank"] for r in ranked) == list(range(1, 1001))
     first = min(ranked, key=lambda r: r["rank"])
     assert (first["g"], first["id"]) == (0, 0)
+
+
+def test_full_run_sequential_equals_parallel(spark, inputs):
+    out_p = etl.run_all(spark, inputs, parallel=True)
+    rows_p = sorted(map(tuple, spark.read.option("header", True).csv(out_p).collect()))
+    out_s = etl.run_all(spark, inputs, parallel=False)
+    rows_s = sorted(map(tuple, spark.read.option("header", True).csv(out_s).collect()))
+    assert rows_p == rows_s and len(rows_p) == 2
+    with pytest.raises(ValueError):
+        etl.run_all(spark, inputs, source="nope")
