@@ -23,7 +23,7 @@ def _absolute(path: str) -> str:
 class Layout:
     in_root: str
     out_root: str
-    # file names used by the raw inputs and the outputs
+    # Input and output file names expected by users of the original jobs.
     renta_csv: str = "renta_por_hogar.csv"
     delitos_csv: str = "delitos_por_municipio.csv"
     contact_csv: str = "contac_center_data.csv"
@@ -43,7 +43,7 @@ class Layout:
         name = {"renta": self.renta_csv, "delitos": self.delitos_csv, "contact": self.contact_csv}[source]
         return _join(self.in_root, name)
 
-    # outputs
+    # outputs (fixed naming: <source>_RAW.parquet, <source>_CLEAN.parquet)
     def raw(self, source: str) -> str:
         return _join(self.out_root, "raw", f"{source}_RAW.parquet")
 
