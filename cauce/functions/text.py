@@ -160,3 +160,16 @@ def null_markers(col: ColumnOrName, words: tuple[str, ...] = NA_WORDS) -> Column
     """Null when the cell is one of the missing-value words, else the cell unchanged."""
     c = _c(col)
     return F.when(~c.isin(*words), c)
+
+
+def _ship_by_value() -> None:
+    """Functions of this module run inside Python workers (mapInPandas / pandas UDF).
+    Serialise them by value so executors need numpy/pandas only, not this package."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship_by_value()

@@ -409,3 +409,16 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None, digits:
 def scatter_pairs(df: DataFrame, x: str, y: str) -> DataFrame:
     """Rows where both ``x`` and ``y`` are present."""
     return df.select(q(x).alias(x), q(y).alias(y)).na.drop()
+
+
+def _ship_by_value() -> None:
+    """Functions of this module run inside Python workers (mapInPandas / pandas UDF).
+    Serialise them by value so executors need numpy/pandas only, not this package."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship_by_value()
