@@ -157,7 +157,8 @@ def quantiles_from_counts(
         .withColumn("__r", F.explode(F.array_distinct(F.array(F.floor("__pos"), F.ceil("__pos")))))
         .withColumn("__r", F.col("__r").cast("long"))
         .select(*keys, "__i", "__pos", "__r",
-                F.lit(float("-inf")).alias("__lo"), F.lit(float("inf")).alias("__hi"), F.lit(0).cast("long").alias("__off"))
+                F.lit(float("-inf")).alias("__lo"), F.lit(float("inf")).alias("__hi"), F.lit(0).cast("long").alias("__off"),
+                F.col("__n").alias("__n_rows"))
         .checkpoint()
     )
 
@@ -165,7 +166,10 @@ def quantiles_from_counts(
         segs, _ = broadcast_if_small(tg.select(*keys, *seg, "__off").distinct())
         return vc.join(segs, keys).where((F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
 
-    for _ in range(max_levels):
+    # a group's distinct values never outnumber its rows: small groups need no refinement
+    # (read from the checkpointed target table, not from the value counts)
+    rows_max = targets.select(F.max(F.col("__n_rows"))).first()[0] or 0
+    for _ in range(max_levels if rows_max > max_sort_rows else 0):
         cand = candidates(targets)
         largest = cand.groupBy(*keys, *seg).count().agg(F.max("count")).first()[0] or 0
         if largest <= max_sort_rows:
