@@ -222,3 +222,14 @@ def d1_stream_load(spark, sf):
         raise RuntimeError(str(query.exception()))
     raw = read_streamed_raw(spark, lay, "contact").drop("_ord")
     return raw.withColumn("duration_call_mins", F.col("duration_call_mins").cast("double"))
+
+
+@register("S8_layout", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def s8_layout(spark, sf):
+    """Addressing by layout: roots as URIs (here the shared scratch folder), the clean-table
+    path of a source built from them, written and read back through the same layout."""
+    root = scratch_dir(spark, "layout")
+    lay = Layout.resolve(in_root=f"{root}/in", out_root=f"{root}/out")
+    cust = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    write_parquet(cust, lay.clean("contact"))
+    return spark.read.parquet(lay.clean("contact"))
