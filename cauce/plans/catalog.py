@@ -18,6 +18,7 @@ from cauce.functions import text as X
 from cauce.operators import aggs, columns, joins, latest, profile, reshape
 from cauce.plans import etl
 from cauce.plans.renderings import contact_raw, crime_raw, income_raw, spanish_number, table
+from cauce.session import release_persisted
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -26,7 +27,15 @@ ORACLE: dict[str, str] = {}
 
 def register(key: str, sql: str | None):
     def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[key] = fn
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # data cached by the previous catalogue query (measured join sides, value
+            # counts) is released first; a DataFrame still held elsewhere just recomputes
+            release_persisted()
+            return fn(spark, sf_dir)
+
+        query.__name__ = fn.__name__
+        query.__doc__ = fn.__doc__
+        QUERIES[key] = query
         if sql is not None:
             ORACLE[key] = sql.strip()
         return fn
