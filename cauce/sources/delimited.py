@@ -224,6 +224,9 @@ def parse_lines(
     if len(info) > max_files:
         raise ValueError(f"more than {max_files} input files; split the load")
     names = dedupe_names(split_header(info[0]["header"], sep))
+    differing = [r["file"] for r in info if dedupe_names(split_header(r["header"], sep)) != names]
+    if differing:
+        raise ValueError(f"{len(differing)} file(s) have another header than {info[0]['file']}, e.g. {differing[0]}")
     # the collected header rows (one per file) become the broadcast side: no second pass
     hdr = F.broadcast(
         lines.sparkSession.createDataFrame(

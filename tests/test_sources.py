@@ -94,3 +94,14 @@ def test_preamble_writer_roundtrip(spark, workdir):
     assert back.count() == 100
     heads = S.locate_header(spark, path).collect()
     assert {r["header_index"] for r in heads} == {2}
+
+
+def test_preamble_files_must_share_header(spark, workdir):
+    write_text(os.path.join(workdir, "mix", "a.csv"), "pre\nMunicipio;2019\nA;1\n")
+    write_text(os.path.join(workdir, "mix", "b.csv"), "Municipio;2020\nB;2\n")
+    with pytest.raises(ValueError):
+        S.read_with_preamble(spark, os.path.join(workdir, "mix"))
+    write_text(os.path.join(workdir, "same", "a.csv"), "pre\nMunicipio;2019\nA;1\n")
+    write_text(os.path.join(workdir, "same", "b.csv"), "Municipio;2019\nB;2\nC;3\n")
+    df = S.read_with_preamble(spark, os.path.join(workdir, "same"))
+    assert sorted(r["Municipio"] for r in df.collect()) == ["A", "B", "C"]
