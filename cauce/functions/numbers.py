@@ -21,7 +21,11 @@ def to_double(col: ColumnOrName, decimal: str = ".") -> Column:
     c = _c(col).cast("string")
     if decimal != ".":
         c = F.translate(c, decimal, ".")
-    return F.when(c.rlike(_NUMBER), F.trim(c).try_cast("double"))
+    parsed = F.trim(c).try_cast("double")
+    # a finite-looking number beyond the double range overflows to infinity in Spark;
+    # pandas treats it as unparseable, so only spelled-out infinities stay infinite
+    overflow = (F.abs(parsed) == F.lit(float("inf"))) & ~c.rlike("(?i)inf")
+    return F.when(c.rlike(_NUMBER) & ~overflow, parsed)
 
 
 def to_int(col: ColumnOrName) -> Column:

@@ -120,7 +120,8 @@ def fold_upper(col: ColumnOrName, exact: bool = False) -> Column:
 
     ``upper`` follows full case mapping (``ß`` -> ``SS``), like Python's ``str.upper``.
     The default runs inside the JVM and folds Latin scripts (U+0000-U+024F plus combining
-    marks). ``exact=True`` applies full Unicode NFKD through a vectorised pandas UDF, for
+    marks); upper-casing follows the JVM's Unicode data, which for a few Latin Extended-B
+    letters is newer than Python's. ``exact=True`` applies full Unicode NFKD through a vectorised pandas UDF, for
     keys in other scripts; it is the slow path (Arrow batches to Python workers).
     """
     if exact:
