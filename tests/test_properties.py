@@ -43,3 +43,26 @@ def test_fold_matches_nfkd(spark, values):
     for v, g in zip(values, got):
         want = "".join(c for c in unicodedata.normalize("NFKD", v) if not unicodedata.combining(c)).strip().upper()
         assert g == want, (v, g, want)
+
+
+CODE_TEXT = st.text(alphabet="0123456789 -abc/#", min_size=0, max_size=12)
+
+
+@settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(CODE_TEXT, min_size=200, max_size=400))
+def test_codes_match_regex_rules(spark, values):
+    import re
+
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    rows = df.select(X.extract_code("s").alias("code"), X.postcode("s").alias("cp")).collect()
+    for v, r in zip(values, rows):
+        m = re.search(r"[0-9]{5}", v)
+        assert r["code"] == (m.group(0) if m else None), v
+        digits = re.sub(r"[^0-9]", "", v)
+        assert r["cp"] == (digits.rjust(5, "0")[:5] if digits else None), v
+
+
+def test_exact_fold_agrees_on_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    diff = docs.select(X.fold_upper("text").alias("a"), X.fold_upper("text", exact=True).alias("b")).where("a <> b")
+    assert diff.count() == 0
