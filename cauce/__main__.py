@@ -25,11 +25,9 @@ def main(argv: list[str] | None = None) -> str:
     args = parser.parse_args(argv)
     spark = build_session()
     layout = Layout.resolve(in_root=args.in_root, out_root=args.out_root)
-    etl.run_all(spark, layout, source=args.source, parallel=not args.sequential)
-    if args.single_file:
-        etl.integrate_task(spark, layout, single_file=True)
-    print(layout.final())
-    return layout.final()
+    out = etl.run_all(spark, layout, source=args.source, parallel=not args.sequential, single_file=args.single_file)
+    print(out)
+    return out
 
 
 if __name__ == "__main__":

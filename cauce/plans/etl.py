@@ -215,8 +215,11 @@ def integrate_task(spark: SparkSession, layout: Layout, single_file: bool = Fals
         release_persisted()
 
 
-def run_all(spark: SparkSession, layout: Layout, source: str = "all", parallel: bool = True) -> str:
-    """Load (``source``) -> clean x3 -> integrate. Returns the final CSV path.
+def run_all(
+    spark: SparkSession, layout: Layout, source: str = "all", parallel: bool = True, single_file: bool = False
+) -> str:
+    """Load (``source``) -> clean x3 -> integrate. Returns the final CSV path
+    (``single_file``: one CSV part, for results known to be small).
 
     The three loads and the three cleanings are independent, so with ``parallel`` each
     group is submitted as concurrent Spark jobs (one driver thread each); small sources
@@ -226,7 +229,7 @@ def run_all(spark: SparkSession, layout: Layout, source: str = "all", parallel:
         raise ValueError(f"unknown source {source!r}; expected 'all' or one of {SOURCES}")
     _each(lambda s: load_raw(spark, layout, only=s), SOURCES if source == "all" else (source,), parallel)
     _each(lambda s: clean_task(spark, layout, s), SOURCES, parallel)
-    return integrate_task(spark, layout)
+    return integrate_task(spark, layout, single_file=single_file)
 
 
 def _each(fn, items, parallel: bool) -> list:
