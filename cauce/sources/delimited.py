@@ -116,10 +116,12 @@ def read_delimited(
     with_order: bool = True,
     na_words: bool = True,
     multiline: bool = False,
+    check_headers: bool = False,
 ) -> DataFrame:
     """Delimited text, all columns ``string``, header names de-duplicated. Every file
     starts with the same header line (Spark drops it from each file); the names are read
-    from one line of one split.
+    from one line of one split. ``check_headers`` verifies that every file's first line
+    agrees (one extra pass over the files: Spark cannot prune a scan to first splits).
 
     ``na_words`` turns the reader's usual missing-value words into null (X15).
     ``multiline`` allows quoted line breaks but makes each file one split.
@@ -145,6 +147,11 @@ def read_delimited(
         if first is None:
             return spark.createDataFrame([], "`_empty` string")
         names = dedupe_names(split_header(first[0], sep))
+        if check_headers:
+            tops = header_table(read_lines(spark, path, encoding), None, sep).select("file", "header").collect()
+            differing = [r["file"] for r in tops if dedupe_names(split_header(r["header"], sep)) != names]
+            if differing:
+                raise ValueError(f"{len(differing)} file(s) start with another header, e.g. {differing[0]}")
         df = reader.option("header", "true").option("enforceSchema", "true").schema(
             _string_schema(names)
         ).csv(path)

@@ -105,3 +105,14 @@ def test_preamble_files_must_share_header(spark, workdir):
     write_text(os.path.join(workdir, "same", "b.csv"), "Municipio;2019\nB;2\nC;3\n")
     df = S.read_with_preamble(spark, os.path.join(workdir, "same"))
     assert sorted(r["Municipio"] for r in df.collect()) == ["A", "B", "C"]
+
+
+def test_plain_scan_header_check(spark, workdir):
+    write_text(os.path.join(workdir, "h", "a.csv"), "x;y\n1;2\n")
+    write_text(os.path.join(workdir, "h", "b.csv"), "x;z\n3;4\n")
+    assert S.read_delimited(spark, os.path.join(workdir, "h")).count() == 2  # unchecked by default
+    with pytest.raises(ValueError):
+        S.read_delimited(spark, os.path.join(workdir, "h"), check_headers=True)
+    write_text(os.path.join(workdir, "k", "a.csv"), "x;y\n1;2\n")
+    write_text(os.path.join(workdir, "k", "b.csv"), "x;y\n3;4\n")
+    assert S.read_delimited(spark, os.path.join(workdir, "k"), check_headers=True).count() == 2
