@@ -25,7 +25,22 @@ def to_double(col: ColumnOrName, decimal: str = ".") -> Column:
     # a finite-looking number beyond the double range overflows to infinity in Spark;
     # pandas treats it as unparseable, so only spelled-out infinities stay infinite
     overflow = (F.abs(parsed) == F.lit(float("inf"))) & ~c.rlike("(?i)inf")
-    return F.when(c.rlike(_NUMBER) & ~overflow, parsed)
+    # pandas also rejects a decimal exponent above 308 once adjusted for fraction digits
+    # (and for integer digits past 17 significant ones), even for a zero mantissa ('0e309')
+    return F.when(c.rlike(_NUMBER) & ~overflow & ~_exponent_too_large(c), parsed)
+
+
+def _exponent_too_large(c: Column) -> Column:
+    int_digits = F.length(F.regexp_extract(c, r"^\s*[+-]?([0-9]*)", 1))
+    frac_digits = F.length(F.regexp_extract(c, r"\.([0-9]*)", 1))
+    kept_decimals = F.least(frac_digits, F.greatest(F.lit(17) - int_digits, F.lit(0)))
+    extra_int = F.greatest(int_digits - 17, F.lit(0))
+    exp_text = F.regexp_extract(c, r"[eE]([+-]?[0-9]+)", 1)
+    exp_value = exp_text.try_cast("long")
+    # an exponent too long for a long is only harmful when positive
+    explicit = F.coalesce(exp_value, F.when(~exp_text.startswith("-"), F.lit(10**9)).otherwise(F.lit(-(10**9))))
+    effective = explicit - kept_decimals + extra_int
+    return c.rlike("[eE]") & (effective > 308)
 
 
 def to_int(col: ColumnOrName) -> Column:

@@ -120,13 +120,22 @@ def fold_upper(col: ColumnOrName, exact: bool = False) -> Column:
 
     ``upper`` follows full case mapping (``ß`` -> ``SS``), like Python's ``str.upper``.
     The default runs inside the JVM and folds Latin scripts (U+0000-U+024F plus combining
-    marks); upper-casing follows the JVM's Unicode data, which for a few Latin Extended-B
-    letters is newer than Python's. ``exact=True`` applies full Unicode NFKD through a vectorised pandas UDF, for
+    marks), upper-casing letters exactly as Python's ``str.upper`` does in that range. ``exact=True`` applies full Unicode NFKD through a vectorised pandas UDF, for
     keys in other scripts; it is the slow path (Arrow batches to Python workers).
     """
     if exact:
         return _fold_upper_udf(_c(col))
-    return F.coalesce(F.upper(trim_ws(fold_accents(col))), F.lit(""))
+    parked = F.translate(trim_ws(fold_accents(col)), _NO_UPPER, _PARKED)
+    return F.coalesce(F.translate(F.upper(parked), _PARKED, _NO_UPPER), F.lit(""))
+
+
+# Lowercase letters of the folded range that Python's str.upper leaves unchanged, generated
+# from Python's Unicode data. The JVM's newer data upper-cases a few of them (U+019B), so
+# they are parked on private-use code points while upper() runs.
+_NO_UPPER = "".join(
+    chr(cp) for cp in range(0x20, 0x250) if unicodedata.category(chr(cp)) == "Ll" and chr(cp).upper() == chr(cp)
+)
+_PARKED = "".join(chr(0xE000 + i) for i in range(len(_NO_UPPER)))
 
 
 _COMBINING = None
