@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -11,7 +12,17 @@ from pyspark.sql import functions as F
 from cauce.session import scratch_dir
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it (on a cluster whose
+    nodes lack that folder, submit the package with ``--py-files``)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

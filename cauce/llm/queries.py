@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from cauce.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from cauce.llm.packing import op1_packing
+from cauce.llm.quality import op9_quality
+from cauce.llm.simhash import op6_simhash
 from cauce.llm.token_files import op4_token_files
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_exact_dedup": op2_exact_dedup,
     "op4_token_files": op4_token_files,
+    "op6_simhash": op6_simhash,
+    "op9_quality": op9_quality,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_exact_dedup": OP2_SQL,
+}
