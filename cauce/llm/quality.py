@@ -2,7 +2,8 @@
 
 A document's histogram of character classes and its histogram of its language's common words are
 compared with those of the language as a whole by Jensen-Shannon distance (base 2, so 0 to 1). A
-document further away than the threshold is rejected; texts too short for a histogram to say
+document further away than a threshold, with an allowance for the sampling noise of short texts,
+is rejected; texts too short for a histogram to say
 anything are not judged by it (the guards), only by the base rule.
 
 The references are counts over all documents. Common words are found exactly in two passes: a
@@ -42,8 +43,9 @@ CLASSES = 8
 
 MIN_CHARS = 250
 MIN_WORDS = 80
-MAX_CHAR_DISTANCE = 0.25
-MAX_WORD_DISTANCE = 0.4
+#: Largest distance of a text of endless length, and what sampling noise may add: c / sqrt(n).
+MAX_CHAR_DISTANCE, CHAR_NOISE = 0.20, 2.0
+MAX_WORD_DISTANCE, WORD_NOISE = 0.33, 0.5
 
 
 def _class_matrix() -> np.ndarray:
@@ -217,16 +219,19 @@ def judge(text: bytes, reference) -> tuple:
     n_words, word_chars, symbols, dup_lines, repeats, classes = measures(text)
     base_failed = n_words < 50 or 100 * repeats > 50 * n_words
     by_class = by_word = None
+    far = False
     if reference is not None:
         ref_classes, common, ref_words = reference
         if classes.sum() >= MIN_CHARS:
             by_class = js_distance(classes, ref_classes)
+            far |= by_class > MAX_CHAR_DISTANCE + CHAR_NOISE / classes.sum() ** 0.5
         if n_words >= MIN_WORDS:
             counts = np.zeros(len(common) + 1, dtype=np.int64)
             for w, n in Counter(text.lower().split()).items():
                 counts[common.get(w, len(common))] += n
             by_word = js_distance(counts, ref_words)
-    kept = not base_failed and (by_class or 0) <= MAX_CHAR_DISTANCE and (by_word or 0) <= MAX_WORD_DISTANCE
+            far |= by_word > MAX_WORD_DISTANCE + WORD_NOISE / n_words**0.5
+    kept = bool(not base_failed and not far)
     return n_words, word_chars, symbols, dup_lines, repeats, base_failed, kept, by_class, by_word
 
 
