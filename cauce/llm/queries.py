@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
+from cauce.llm.bpe import op5_bpe
 from cauce.llm.exact_dedup import OP2_SQL, op2_exact_dedup
+from cauce.llm.licenses import op8_licenses
 from cauce.llm.packing import op1_packing
+from cauce.llm.pii import op7_pii
 from cauce.llm.quality import op9_quality
 from cauce.llm.simhash import op6_simhash
 from cauce.llm.token_files import op4_token_files
+from cauce.llm.url_rules import OP3_SQL, op3_url_rules
 
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_url_rules": op3_url_rules,
     "op4_token_files": op4_token_files,
+    "op5_bpe": op5_bpe,
     "op6_simhash": op6_simhash,
+    "op7_pii": op7_pii,
+    "op8_licenses": op8_licenses,
     "op9_quality": op9_quality,
 }
 
 ORACLE: dict[str, str] = {
     "op2_exact_dedup": OP2_SQL,
+    "op3_url_rules": OP3_SQL,
 }
