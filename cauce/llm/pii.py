@@ -1,8 +1,8 @@
 """Personal data by a character-level bidirectional LSTM with CRF transitions, in numpy.
 
 Base rules (patterns with digit counts, ranges and the Luhn check) give the certain spans. The
-tagger is trained on a bounded sample of the corpus (``TRAIN_DOCUMENTS`` rows that hold base
-spans) whose spans the base rules label; other numbers and addresses of these texts are its
+tagger is trained on a bounded sample of the corpus (``TRAIN_DOCUMENTS`` texts that hold a digit
+or an ``@``) whose spans the base rules label; other numbers and addresses of these texts are its
 negatives. It reads windows around every place that could be personal data: all four kinds hold a
 digit or an ``@``, so stretches without either cannot carry a span, and every stretch with one is
 covered. Long stretches are cut into overlapping windows, decoded by Viterbi, and reconciled over
@@ -291,7 +291,11 @@ def training_set(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def fitted(docs: DataFrame) -> Tagger | None:
     """A tagger trained on at most ``TRAIN_DOCUMENTS`` rows, chosen by a hash of their text."""
     rows = plain(docs).where(F.col("text").rlike("[0-9@]") & (F.length("text") < 20_000))
-    picked = rows.select("text").orderBy(F.xxhash64("text"), "text").limit(TRAIN_DOCUMENTS)
+    keyed = rows.select(F.xxhash64("text").alias("h"), "text")
+    last = keyed.select("h").distinct().orderBy("h").limit(TRAIN_DOCUMENTS).agg(F.max("h")).first()[0]
+    if last is None:
+        return None
+    picked = keyed.where(F.col("h") <= last).groupBy("h").agg(F.min("text").alias("text")).orderBy("h")
     x, y = training_set([r.text for r in picked.collect()])
     if not (y > 0).any():
         return None

@@ -9,6 +9,7 @@ from cauce.llm.packing import op1_packing
 from cauce.llm.pii import op7_pii
 from cauce.llm.quality import op9_quality
 from cauce.llm.simhash import op6_simhash
+from cauce.llm.substrings import op10_substrings
 from cauce.llm.token_files import op4_token_files
 from cauce.llm.url_rules import OP3_SQL, op3_url_rules
 
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_pii": op7_pii,
     "op8_licenses": op8_licenses,
     "op9_quality": op9_quality,
+    "op10_substrings": op10_substrings,
 }
 
 ORACLE: dict[str, str] = {
