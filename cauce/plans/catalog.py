@@ -580,12 +580,9 @@ def p4_resolve(spark, sf):
 
 @register(
     "P5_regex_cols",
-    f"""
-PIVOT (SELECT replace(lower(n.n_name), 'a', 'à') AS Municipio,
-              CAST(year(o.o_orderdate) AS VARCHAR) AS y
-       FROM {_ORDERS_NATION})
-ON y USING count(*) GROUP BY Municipio
-""",
+    "SELECT replace(lower(n.n_name), 'a', 'à') AS Municipio, "
+    + ", ".join(f"count(*) FILTER (WHERE year(o.o_orderdate) = {y}) AS \"{y}\"" for y in range(1995, 2002))
+    + f" FROM {_ORDERS_NATION} GROUP BY 1",
 )
 def p5_regex_cols(spark, sf):
     wide = crime_raw(spark, sf)

@@ -9,15 +9,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def _same_path(a: str, b: str) -> bool:
-    norm = lambda p: p.replace("file://", "").replace("file:", "").rstrip("/")
-    return norm(a) == norm(b) or norm(b).startswith(norm(a) + "/")
+def _qualified(df: DataFrame, path: str) -> str:
+    """The path as its file system names it: scheme, absolute, ``..`` resolved."""
+    jvm = df.sparkSession._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf())
+    return store.makeQualified(place).toString().rstrip("/")
 
 
 def guard_overwrite(df: DataFrame, path: str) -> None:
-    """K2: refuse to overwrite a path that the DataFrame itself reads from."""
-    if any(_same_path(path, f) for f in df.inputFiles()):
-        raise ValueError(f"refusing to overwrite {path}: the plan reads from it")
+    """K2: refuse to overwrite a path that the DataFrame itself reads from, however it is spelt
+    (relative, with ``..`` or with a scheme)."""
+    target = _qualified(df, path)
+    folders = {f.rpartition("/")[0] for f in (x.replace("file:///", "file:/") for x in df.inputFiles())}
+    target = target.replace("file:///", "file:/")
+    for folder in folders:
+        if folder == target or folder.startswith(target + "/") or target.startswith(folder + "/"):
+            raise ValueError(f"refusing to overwrite {path}: the plan reads from it")
 
 
 def write_parquet(
@@ -63,6 +71,8 @@ def write_csv(
         .option("escape", '"')
         .option("emptyValue", "")
         .option("nullValue", "")
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
         .option("encoding", encoding)
         .csv(path)
     )
