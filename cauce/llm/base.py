@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from cauce.session import scratch_dir
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def importable(spark: SparkSession) -> None:
     """Lets Python workers import this package from where the driver has it (on a cluster whose
@@ -37,10 +39,16 @@ def plain(docs: DataFrame, *more: str) -> DataFrame:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared scratch folder: cuts lineage and survives lost
-    executors, and random or positional columns keep their values from here on."""
+    executors, and random or positional columns keep their values from here on. The shuffle
+    files of the write go as it ends; nothing reads them once the table is there."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

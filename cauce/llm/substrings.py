@@ -110,10 +110,12 @@ def anchors(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
 
 # -- passes over the anchors ---------------------------------------------------------------
 
-_ROW = "route long, h long, c long, doc long, uid long, at int, kind int"
-_TYPES = [pa.int64()] * 5 + [pa.int32()] * 2
+# Anchors with at >= 0; ranges settled before the shuffle carry their uid as h, their length as c
+# and -1 - at as at, so that no column is there for them alone.
+_ROW = "h long, c long, doc long, uid long, at int"
+_TYPES = [pa.int64()] * 4 + [pa.int32()]
 STRETCH = 4 << 20  # bytes hashed at once
-UNIQUE, SHARED, WHOLE, EDGE = 0, 1, 2, 3
+WHOLE, EDGE = 2, 3
 
 
 def _batch(names: str, types: list, *columns) -> pa.RecordBatch:
@@ -132,8 +134,8 @@ def _settle(h, c, doc):
 
 
 def _found(rows: DataFrame) -> DataFrame:
-    """Anchors of all documents; those whose context an earlier document of the same stretch
-    has are marked WHOLE and sent on by their uid, only to be passed through."""
+    """Anchors of all documents; where contexts are those of an earlier document of the same
+    stretch, the range that they cover is sent on by its uid, only to be passed through."""
 
     def flush(held):
         texts, docs, uids, bases = held
@@ -147,8 +149,15 @@ def _found(rows: DataFrame) -> DataFrame:
         order, least, _, _ = _settle(h, c, doc)
         whole = np.zeros(len(h), dtype=bool)
         whole[order] = doc[order] > least
-        kind = np.where(whole, WHOLE, SHARED).astype(np.int32)
-        yield _batch(_ROW, _TYPES, np.where(whole, uid, h), h, c, doc, uid, at, kind)
+        open_rows = np.flatnonzero(~whole)
+        if len(open_rows):
+            yield _batch(_ROW, _TYPES, *(x[open_rows] for x in (h, c, doc, uid, at.astype(np.int32))))
+        hit = np.flatnonzero(whole)
+        if len(hit):  # contexts next to each other in one text overlap: one range
+            edge = np.concatenate([[True], (np.diff(hit) != 1) | (np.diff(text[hit]) != 0)])
+            first, last = hit[edge], hit[np.concatenate([np.flatnonzero(edge)[1:], [len(hit)]]) - 1]
+            size = at[last] + (c[last] & 31) + LENGTH - at[first]
+            yield _batch(_ROW, _TYPES, uid[first], size, doc[first], uid[first], (-1 - at[first]).astype(np.int32))
 
     def run(batches):
         held, size = ([], [], [], []), 0
@@ -197,13 +206,16 @@ def _judged(rows: DataFrame) -> DataFrame:
     """Ranges that repeat as a whole (WHOLE) and those whose strings are to be sorted (EDGE)."""
 
     def run(batches):
-        for table in _groups(batches, "route", 1 << 20):
-            h, c, doc, uid, at, kind = (table.column(x).to_numpy() for x in ("h", "c", "doc", "uid", "at", "kind"))
-            size = ((c & 31) + LENGTH).astype(np.int32)
-            ready = np.flatnonzero(kind == WHOLE)
+        for table in _groups(batches, "h", 1 << 20):
+            h, c, doc, uid, at = (table.column(x).to_numpy() for x in ("h", "c", "doc", "uid", "at"))
+            ready = np.flatnonzero(at < 0)
             if len(ready):
-                yield _batch(_RANGE, _RANGE_TYPES, uid[ready], at[ready], size[ready], h[ready], doc[ready], kind[ready])
-            open_rows = np.flatnonzero(kind == SHARED)
+                kind = np.full(len(ready), WHOLE, np.int32)
+                yield _batch(
+                    _RANGE, _RANGE_TYPES, uid[ready], -1 - at[ready], c[ready].astype(np.int32), h[ready], doc[ready], kind
+                )
+            size = ((c & 31) + LENGTH).astype(np.int32)
+            open_rows = np.flatnonzero(at >= 0)
             if not len(open_rows):
                 continue
             order, least, new_h, new_c = _settle(h[open_rows], c[open_rows], doc[open_rows])
@@ -222,7 +234,7 @@ def _judged(rows: DataFrame) -> DataFrame:
             )
 
     n = partitions(rows.sparkSession)
-    return rows.repartition(n, "route").sortWithinPartitions("route").mapInArrow(run, _RANGE)
+    return rows.repartition(n, "h").sortWithinPartitions("h").mapInArrow(run, _RANGE)
 
 
 # -- deep-shallow sorting ------------------------------------------------------------------
