@@ -202,6 +202,12 @@ def _groups(batches, key: str, limit: int):
         yield pa.Table.from_batches(held)
 
 
+def _whole(uid, at, size):
+    """Settled ranges; only those to be sorted need their gram and doc."""
+    none = np.zeros(len(uid), np.int64)
+    yield _batch(_RANGE, _RANGE_TYPES, uid, at, size, none, none, np.full(len(uid), WHOLE, np.int32))
+
+
 def _judged(rows: DataFrame) -> DataFrame:
     """Ranges that repeat as a whole (WHOLE) and those whose strings are to be sorted (EDGE)."""
 
@@ -210,10 +216,7 @@ def _judged(rows: DataFrame) -> DataFrame:
             h, c, doc, uid, at = (table.column(x).to_numpy() for x in ("h", "c", "doc", "uid", "at"))
             ready = np.flatnonzero(at < 0)
             if len(ready):
-                kind = np.full(len(ready), WHOLE, np.int32)
-                yield _batch(
-                    _RANGE, _RANGE_TYPES, uid[ready], -1 - at[ready], c[ready].astype(np.int32), h[ready], doc[ready], kind
-                )
+                yield from _whole(uid[ready], -1 - at[ready], c[ready].astype(np.int32))
             size = ((c & 31) + LENGTH).astype(np.int32)
             open_rows = np.flatnonzero(at >= 0)
             if not len(open_rows):
@@ -227,11 +230,12 @@ def _judged(rows: DataFrame) -> DataFrame:
             contexts = np.add.reduceat(new_c.astype(np.int64), start)[group]
             whole = own > least
             edge = ~whole & several & (contexts > 1)
-            picked = np.flatnonzero(whole | edge)
-            i = order[picked]
-            yield _batch(
-                _RANGE, _RANGE_TYPES, uid[i], at[i], size[i], h[i], doc[i], np.where(whole[picked], WHOLE, EDGE).astype(np.int32)
-            )
+            i = order[whole]
+            if len(i):
+                yield from _whole(uid[i], at[i], size[i])
+            i = order[edge]
+            if len(i):
+                yield _batch(_RANGE, _RANGE_TYPES, uid[i], at[i], size[i], h[i], doc[i], np.full(len(i), EDGE, np.int32))
 
     n = partitions(rows.sparkSession)
     return rows.repartition(n, "h").sortWithinPartitions("h").mapInArrow(run, _RANGE)
