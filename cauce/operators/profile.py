@@ -370,10 +370,11 @@ def correlation_long(df: DataFrame, cols: Sequence[str] | None = None, digits: i
     cols = list(cols or numeric_columns(df))
     k = len(cols)
     vals = df.select(*[q(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
-    part = vals.mapInPandas(
+    # k*k rows per partition, read twice below: kept, so that the source is scanned once
+    part = persist_for_job(vals.mapInPandas(
         lambda it: _pair_moments(it, k),
         "i int, j int, n double, mi double, mj double, m2i double, m2j double, c double",
-    )
+    ))
     tot = part.groupBy("i", "j").agg(
         F.sum("n").alias("t_n"),
         (F.sum(F.col("n") * F.col("mi")) / F.sum("n")).alias("t_mi"),

@@ -7,6 +7,7 @@ output schema, so it is the only thing that reaches the driver.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -95,7 +96,12 @@ def flag_names(values: Sequence[str], taken: Sequence[str], prefix: str | None =
     """Output names for flag columns; a clash with an existing column raises unless a
     ``prefix`` is given."""
     names = [f"{prefix}{v}" if prefix else v for v in values]
-    clash = sorted(set(names) & set(taken))
+    # column names that differ only in case are one column to Spark and to Parquet readers
+    known = {t.casefold() for t in taken}
+    folded = Counter(n.casefold() for n in names)
+    clash = sorted(n for n in names if n.casefold() in known)
+    if twice := sorted(n for n in names if folded[n.casefold()] > 1):
+        raise ValueError(f"answers {twice} differ only in case; pass flag_values= with one of them")
     if clash:
         raise ValueError(f"flag column(s) {clash} collide with attributes; pass flag_prefix=")
     return names

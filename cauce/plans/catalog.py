@@ -79,8 +79,8 @@ SELECT lpad(CAST(o.o_custkey AS VARCHAR), 5, '0') AS codigo_postal,
        o.o_totalprice AS renta_media,
        o.o_orderkey AS ord
 FROM {_ORDERS_NATION}
-WHERE c.c_mktsegment <> 'HOUSEHOLD'
 """
+MATCHED_INCOME_SQL = f"{INCOME_ROWS_SQL}WHERE c.c_mktsegment <> 'HOUSEHOLD'"
 
 CRIME_SQL = f"""
 WITH j AS (SELECT replace(lower(n.n_name), 'a', 'à') AS municipio,
@@ -95,7 +95,7 @@ FROM m CROSS JOIN y LEFT JOIN cnt ON cnt.municipio = m.municipio AND cnt.anio =
 
 FINAL_SQL = f"""
 WITH s AS ({SESSIONS_SQL}),
-     inc AS ({INCOME_ROWS_SQL}),
+     inc AS ({MATCHED_INCOME_SQL}),
      lastinc AS (
        SELECT codigo_postal AS CP, municipio, upper(strip_accents(municipio)) AS municipio_norm,
               periodo, renta_media
@@ -116,7 +116,7 @@ FROM s LEFT JOIN lastinc ON s.CP = lastinc.CP
 # ------------------------------------------------------------------ D: pipeline stages
 def _final(spark: SparkSession, sf: str) -> DataFrame:
     contact = etl.clean_sessions(contact_raw(spark, sf))
-    renta = etl.clean_income(income_raw(spark, sf))
+    renta = etl.clean_income(income_raw(spark, sf, unmatched=True))
     delitos = etl.clean_crime(crime_raw(spark, sf))
     return etl.integrate(contact, renta, delitos)
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cauce.functions.numbers import local_number, to_double, to_int
+from cauce.functions.numbers import local_number, to_double
 from cauce.functions.text import extract_code, fold_upper, postcode, strip_code, to_text, trim_ws, unwrap_bytes
 from cauce.operators.aggs import first_non_null
 from cauce.operators.columns import first_in_order, q, require_columns, resolve_column
@@ -93,7 +93,8 @@ def clean_income(raw: DataFrame, indicator: str | None = None) -> DataFrame:
     cols = [
         code.alias("codigo_postal"),
         name.alias("municipio"),
-        (to_int(q(period)) if period else F.lit(None).cast("int")).alias("periodo"),
+        # a fractional period (2019.5) lies in its year; as null it would count as the latest
+        (F.floor(to_double(q(period))).try_cast("int") if period else F.lit(None).cast("int")).alias("periodo"),
         local_number(q(total)).alias("renta_media"),
     ]
     if ORD in raw.columns:

@@ -53,10 +53,13 @@ def _orders_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
 
 
-def income_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One income row per order of a non-household customer: code + municipality in one
-    field, period = order year, amount in Spanish number format, file order = order key."""
-    j = _orders_by_nation(spark, sf_dir).where(F.col("c_mktsegment") != "HOUSEHOLD")
+def income_raw(spark: SparkSession, sf_dir: str, unmatched: bool = False) -> DataFrame:
+    """One income row per order: code + municipality in one field, period = order year,
+    amount in Spanish number format, file order = order key. ``unmatched`` leaves household
+    customers without income, so that joins meet keys without a partner."""
+    j = _orders_by_nation(spark, sf_dir)
+    if unmatched:
+        j = j.where(F.col("c_mktsegment") != "HOUSEHOLD")
     return j.select(
         F.concat(
             F.lpad(F.col("o_custkey").cast("string"), 5, "0"), F.lit(" "), mixed_case_accented(F.col("n_name"), "á")

@@ -17,8 +17,8 @@ from cauce.sources import delimited as S
 from cauce.sources.layout import Layout
 from cauce.sources.sinks import write_csv, write_parquet, write_with_preamble
 
-# The preamble of the official crime exports (three lines above the header).
-PREAMBLE = ["Balance de criminalidad 2020 - 1er trimestre", "Unidades: Tasas", "Notas adicionales"]
+# Three lines above the header, as crime exports have them; any text will do.
+PREAMBLE = ["Infracciones penales por municipio", "Segundo trimestre", "Fuente: propia"]
 
 _CUSTOMER_SQL = """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
@@ -156,7 +156,7 @@ def render_inputs(spark: SparkSession, sf: str, sources=("renta", "delitos", "co
     root = scratch_dir(spark, "inputs")
     lay = Layout(in_root=f"{root}/data", out_root=f"{root}/output")
     if "renta" in sources:
-        income = income_raw(spark, sf).orderBy("_ord").drop("_ord")
+        income = income_raw(spark, sf, unmatched=True).orderBy("_ord").drop("_ord")
         write_csv(income, lay.csv("renta"), sep=";", encoding="ISO-8859-1")
     if "delitos" in sources:
         write_with_preamble(crime_raw(spark, sf), lay.csv("delitos"), PREAMBLE, sep=";")

@@ -39,17 +39,17 @@ def order_column() -> Column:
 
 def dedupe_names(names: Sequence[str]) -> list[str]:
     """Header names made unique: the first occurrence keeps its name, later ones get
-    ``.1``, ``.2`` ... (so a duplicated ``2019`` header still matches a 4-digit rule once).
+    ``.1``, ``.2`` ... (names are compared without case, as Spark does; so a duplicated ``2019`` header still matches a 4-digit rule once).
     Empty names become ``Unnamed: <i>``."""
     seen: dict[str, int] = {}
     out = []
     for i, raw in enumerate(names):
         name = raw if raw not in ("", None) else f"Unnamed: {i}"
         base = name
-        while name in seen:
-            seen[base] += 1
-            name = f"{base}.{seen[base]}"
-        seen.setdefault(name, 0)
+        while name.casefold() in seen:
+            seen[base.casefold()] += 1
+            name = f"{base}.{seen[base.casefold()]}"
+        seen.setdefault(name.casefold(), 0)
         out.append(name)
     return out
 
@@ -120,8 +120,10 @@ def read_delimited(
 ) -> DataFrame:
     """Delimited text, all columns ``string``, header names de-duplicated. Every file
     starts with the same header line (Spark drops it from each file); the names are read
-    from one line of one split. ``check_headers`` verifies that every file's first line
-    agrees (one extra pass over the files: Spark cannot prune a scan to first splits).
+    from one line of one split. A file with other names or another order makes the scan
+    fail, unless names had to be changed (repeated, empty, with outer blanks); for those
+    ``check_headers`` verifies every file's first line (one extra pass over the files:
+    Spark cannot prune a scan to first splits).
 
     ``na_words`` turns the reader's usual missing-value words into null (X15).
     ``multiline`` allows quoted line breaks but makes each file one split.
@@ -146,13 +148,16 @@ def read_delimited(
         first = first[0] if first else None
         if first is None:
             return spark.createDataFrame([], "`_empty` string")
-        names = dedupe_names(split_header(first[0], sep))
+        found = split_header(first[0], sep)
+        names = dedupe_names(found)
+        # names taken as they stand: the scan itself fails on a file with other ones
+        as_read = names == found and all(n == n.strip().strip("\ufeff") for n in names)
         if check_headers:
             tops = header_table(read_lines(spark, path, encoding), None, sep).select("file", "header").collect()
             differing = [r["file"] for r in tops if dedupe_names(split_header(r["header"], sep)) != names]
             if differing:
                 raise ValueError(f"{len(differing)} file(s) start with another header, e.g. {differing[0]}")
-        df = reader.option("header", "true").option("enforceSchema", "true").schema(
+        df = reader.option("header", "true").option("enforceSchema", str(not as_read).lower()).schema(
             _string_schema(names)
         ).csv(path)
     else:

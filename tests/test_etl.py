@@ -1,4 +1,4 @@
-"""The jobs on the reference's fixtures, with exact expected values, plus the edge cases
+"""The jobs on small exports, with exact expected values, plus the edge cases
 (null period, ties, null answers, collisions, fan-out, unmatched keys)."""
 
 import os
@@ -32,19 +32,29 @@ def test_clean_income(spark, inputs):
     clean = etl.clean_income(spark.read.parquet(inputs.raw("renta")))
     assert clean.columns[:4] == ["codigo_postal", "municipio", "periodo", "renta_media"]
     assert _rows(clean, ["codigo_postal", "municipio", "periodo", "renta_media"]) == [
-        ("28001", "Acebeda, La", 2020, 13999.0),
-        ("28002", "Ajalvir", 2020, 15500.0),
+        ("42020", "Losilla, La", 2018, 9870.0),
+        ("42020", "Losilla, La", 2021, 12406.0),
+        ("42134", "Ólvega", 2021, 18055.0),
     ]
 
 
+def test_fractional_period_stays_before_the_next_year(spark):
+    raw = spark.createDataFrame(
+        [("42020 A", "2020", "2.000", 0), ("42020 A", "2019.5", "1.000", 1)],
+        "Municipios string, Periodo string, Total string, _ord long",
+    )
+    latest = latest_per_key(etl.clean_income(raw), "codigo_postal", "periodo")
+    assert [r["renta_media"] for r in latest.collect()] == [2000.0]
+
+
 def test_clean_crime(spark, inputs):
     etl.load_raw(spark, inputs, only="delitos")
     clean = etl.clean_crime(spark.read.parquet(inputs.raw("delitos")))
     assert clean.columns == ["municipio", "anio", "tipo_delito", "tasa"]
     rows = _rows(clean, clean.columns)
-    assert len(rows) == 6 and {r[1] for r in rows} == {2019, 2020, 2021}
+    assert len(rows) == 6 and {r[1] for r in rows} == {2020, 2021}
     assert {r[2] for r in rows} == {"total"}
-    assert ("ALCALÁ DE HENARES", 2020, "total", 28.0) in rows
+    assert ("ÁGREDA", 2021, "total", 4.0) in rows
 
 
 def test_clean_crime_without_years(spark):
@@ -57,10 +67,11 @@ def test_clean_sessions(spark, inputs):
     etl.load_raw(spark, inputs, only="contact")
     clean = etl.clean_sessions(spark.read.parquet(inputs.raw("contact")))
     assert clean.columns == ["sessionID", "DNI", "Telef", "CP", "duration_call_mins", "Producto",
-                             "Chalet", "Piso", "Sin Rejas", "Unifamiliar"]
+                             "Garaje", "Trastero", "Ático"]
     assert _rows(clean, clean.columns) == [
-        ("AAA", "X1", "600000001", "28001", 2.5, "Seguro Hogar", 1, 0, 1, 1),
-        ("BBB", "Y2", "600000002", "28002", 3.1, None, 0, 1, 0, 0),
+        ("s-07", "D18", "655010203", "42134", 6.75, "Plan Auto", 1, 1, 0),
+        ("s-09", "D31", "655040506", "42020", 0.5, "Plan Vida", 1, 0, 1),
+        ("s-11", "D44", "655070809", "42999", 1.0, None, None, None, None),
     ]
 
 
@@ -72,6 +83,9 @@ def test_sessions_null_answers_and_collision(spark):
     rows = {r["sessionID"]: r for r in etl.clean_sessions(raw).collect()}
     assert rows["A"]["Piso"] is None and rows["A"]["DNI"] == "x"
     assert rows["B"]["Piso"] == 1
+    lower = raw.withColumn("funnel_Q", F.lit("dni"))
+    with pytest.raises(ValueError):
+        etl.clean_sessions(lower)
     clash = raw.withColumn("funnel_Q", F.lit("DNI"))
     with pytest.raises(ValueError):
         etl.clean_sessions(clash)
@@ -93,20 +107,20 @@ def test_latest_null_period_and_tie(spark):
 
 def test_integration_fixture(spark):
     contact = spark.createDataFrame(
-        [("AAA", "X1", "600", "28001", 2.5, "Seguro Hogar", 1)],
-        "sessionID string, DNI string, Telef string, CP string, duration_call_mins double, Producto string, Chalet int",
+        [("s-09", "D31", "655", "42020", 0.5, "Plan Vida", 1)],
+        "sessionID string, DNI string, Telef string, CP string, duration_call_mins double, Producto string, Garaje int",
     )
-    renta = spark.createDataFrame([("28001", "Acebeda, La", 2020, 13999.0)],
+    renta = spark.createDataFrame([("42020", "Losilla, La", 2021, 12406.0)],
                                   "codigo_postal string, municipio string, periodo int, renta_media double")
-    delitos = spark.createDataFrame([("Acebeda, La", 2020, "total", 110.0)],
+    delitos = spark.createDataFrame([("lósilla, la", 2018, "total", 7.5)],
                                     "municipio string, anio int, tipo_delito string, tasa double")
     final = etl.integrate(contact, renta, delitos)
     assert final.columns == contact.columns + ["municipio_renta", "municipio_norm", "periodo_renta",
                                                "renta_media", "anio", "tipo_delito", "tasa"]
     (row,) = final.collect()
     assert (row["municipio_renta"], row["municipio_norm"], row["periodo_renta"], row["renta_media"],
-            row["anio"], row["tipo_delito"], row["tasa"]) == ("Acebeda, La", "ACEBEDA, LA", 2020, 13999.0,
-                                                              2020, "total", 110.0)
+            row["anio"], row["tipo_delito"], row["tasa"]) == ("Losilla, La", "LOSILLA, LA", 2021, 12406.0,
+                                                              2018, "total", 7.5)
 
 
 def test_integration_fanout_and_unmatched(spark):
@@ -127,7 +141,7 @@ def test_full_run_writes_csv(spark, inputs):
     out = etl.run_all(spark, inputs)
     df = spark.read.option("header", True).csv(out)
     assert {"renta_media", "tasa"} <= set(df.columns)
-    assert df.count() == 2
+    assert df.count() == 3
 
 
 def test_layout_precedence(monkeypatch):
@@ -164,6 +178,6 @@ def test_full_run_sequential_equals_parallel(spark, inputs):
     rows_p = sorted(map(tuple, spark.read.option("header", True).csv(out_p).collect()))
     out_s = etl.run_all(spark, inputs, parallel=False)
     rows_s = sorted(map(tuple, spark.read.option("header", True).csv(out_s).collect()))
-    assert rows_p == rows_s and len(rows_p) == 2
+    assert rows_p == rows_s and len(rows_p) == 3
     with pytest.raises(ValueError):
         etl.run_all(spark, inputs, source="nope")

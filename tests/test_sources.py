@@ -13,14 +13,14 @@ from conftest import write_text
 def test_header_index_is_three(spark, inputs):
     row = S.locate_header(spark, inputs.csv("delitos"), max_scan=50).first()
     assert row["header_index"] == 3
-    assert row["header"] == "Municipio;2019;2020;2021"
+    assert row["header"] == "Municipio;2020;2021"
 
 
 def test_preamble_scan(spark, inputs):
     df = S.read_with_preamble(spark, inputs.csv("delitos"))
-    assert df.columns == ["Municipio", "2019", "2020", "2021", "_ord"]
-    rows = [tuple(r)[:4] for r in df.orderBy("_ord").collect()]
-    assert rows == [("MADRID (COMUNIDAD DE)", "100", "110", "120"), ("ALCALÁ DE HENARES", "30", "28", "35")]
+    assert df.columns == ["Municipio", "2020", "2021", "_ord"]
+    rows = [tuple(r)[:3] for r in df.orderBy("_ord").collect()]
+    assert rows == [("SORIA (PROVINCIA DE)", "41", "57"), ("ÁGREDA", "6", "4"), ("COVALEDA", "3", "9")]
 
 
 def test_no_preamble_and_header_not_found(spark, workdir):
@@ -110,7 +110,12 @@ def test_preamble_files_must_share_header(spark, workdir):
 def test_plain_scan_header_check(spark, workdir):
     write_text(os.path.join(workdir, "h", "a.csv"), "x;y\n1;2\n")
     write_text(os.path.join(workdir, "h", "b.csv"), "x;z\n3;4\n")
-    assert S.read_delimited(spark, os.path.join(workdir, "h")).count() == 2  # unchecked by default
+    with pytest.raises(Exception, match="header"):
+        S.read_delimited(spark, os.path.join(workdir, "h")).collect()
+    write_text(os.path.join(workdir, "swapped", "a.csv"), "x;y\n1;2\n")
+    write_text(os.path.join(workdir, "swapped", "b.csv"), "y;x\n3;4\n")
+    with pytest.raises(Exception, match="header"):
+        S.read_delimited(spark, os.path.join(workdir, "swapped")).select("y").collect()
     with pytest.raises(ValueError):
         S.read_delimited(spark, os.path.join(workdir, "h"), check_headers=True)
     write_text(os.path.join(workdir, "k", "a.csv"), "x;y\n1;2\n")
