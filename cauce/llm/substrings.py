@@ -111,8 +111,10 @@ def anchors(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
 # -- passes over the anchors ---------------------------------------------------------------
 
 # Anchors with at >= 0; ranges settled before the shuffle carry their uid as h, their length as c
-# and -1 - at as at, so that no column is there for them alone.
-_ROW = "h long, c long, doc long, uid long, at int"
+# and -1 - at as at, so that no column is there for them alone. What one stretch sends to one
+# partition travels as one row of arrays: columns of like values compress far better than rows.
+_ROW = ("h", "c", "doc", "uid", "at")
+_BLOCK = "part int, h array<long>, c array<long>, doc array<long>, uid array<long>, at array<int>"
 _TYPES = [pa.int64()] * 4 + [pa.int32()]
 STRETCH = 4 << 20  # bytes hashed at once
 WHOLE, EDGE = 2, 3
@@ -133,8 +135,19 @@ def _settle(h, c, doc):
     return order, least, new_h, new_c
 
 
-def _found(rows: DataFrame) -> DataFrame:
-    """Anchors of all documents; where contexts are those of an earlier document of the same
+def _blocks(n: int, columns: list[np.ndarray]) -> pa.RecordBatch:
+    """Rows (``_ROW``) as one row of arrays for each of the ``n`` partitions by h that gets any."""
+    part = (columns[0].view(np.uint64) % np.uint64(n)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+    ends = pa.array(np.append(starts, len(part)), pa.int32())
+    lists = [pa.ListArray.from_arrays(ends, pa.array(x[order], t)) for x, t in zip(columns, _TYPES, strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(part[starts]), *lists], ["part", *_ROW])
+
+
+def _found(rows: DataFrame, n: int) -> DataFrame:
+    """Anchors of all documents as blocks for ``n`` partitions; where contexts are those of an earlier document of the same
     stretch, the range that they cover is sent on by its uid, only to be passed through."""
 
     def flush(held):
@@ -150,14 +163,15 @@ def _found(rows: DataFrame) -> DataFrame:
         whole = np.zeros(len(h), dtype=bool)
         whole[order] = doc[order] > least
         open_rows = np.flatnonzero(~whole)
-        if len(open_rows):
-            yield _batch(_ROW, _TYPES, *(x[open_rows] for x in (h, c, doc, uid, at.astype(np.int32))))
+        sent = [x[open_rows] for x in (h, c, doc, uid, at.astype(np.int32))]
         hit = np.flatnonzero(whole)
         if len(hit):  # contexts next to each other in one text overlap: one range
             edge = np.concatenate([[True], (np.diff(hit) != 1) | (np.diff(text[hit]) != 0)])
             first, last = hit[edge], hit[np.concatenate([np.flatnonzero(edge)[1:], [len(hit)]]) - 1]
             size = at[last] + (c[last] & 31) + LENGTH - at[first]
-            yield _batch(_ROW, _TYPES, uid[first], size, doc[first], uid[first], (-1 - at[first]).astype(np.int32))
+            settled = (uid[first], size, doc[first], uid[first], (-1 - at[first]).astype(np.int32))
+            sent = [np.concatenate(x) for x in zip(sent, settled, strict=True)]
+        yield _blocks(n, sent)
 
     def run(batches):
         held, size = ([], [], [], []), 0
@@ -177,7 +191,7 @@ def _found(rows: DataFrame) -> DataFrame:
         if size:
             yield from flush(held)
 
-    return rows.mapInArrow(run, _ROW)
+    return rows.mapInArrow(run, _BLOCK)
 
 
 _RANGE = "uid long, at int, size int, h long, doc long, kind int"
@@ -208,7 +222,7 @@ def _whole(uid, at, size):
     yield _batch(_RANGE, _RANGE_TYPES, uid, at, size, none, none, np.full(len(uid), WHOLE, np.int32))
 
 
-def _judged(rows: DataFrame) -> DataFrame:
+def _judged(blocks: DataFrame, n: int) -> DataFrame:
     """Ranges that repeat as a whole (WHOLE) and those whose strings are to be sorted (EDGE)."""
 
     def run(batches):
@@ -237,8 +251,8 @@ def _judged(rows: DataFrame) -> DataFrame:
             if len(i):
                 yield _batch(_RANGE, _RANGE_TYPES, uid[i], at[i], size[i], h[i], doc[i], np.full(len(i), EDGE, np.int32))
 
-    n = partitions(rows.sparkSession)
-    return rows.repartition(n, "h").sortWithinPartitions("h").mapInArrow(run, _RANGE)
+    rows = blocks.repartitionById(n, "part").select(F.inline(F.arrays_zip(*_ROW)))
+    return rows.sortWithinPartitions("h").mapInArrow(run, _RANGE)
 
 
 # -- deep-shallow sorting ------------------------------------------------------------------
@@ -390,7 +404,8 @@ def _ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = staged.select(
         F.col(uid).alias("uid"), "doc_id", F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc"), "text"
     )
-    judged = written(_judged(_found(rows.select("uid", "doc", "text"))), "substring-anchors")
+    n = partitions(docs.sparkSession)
+    judged = written(_judged(_found(rows.select("uid", "doc", "text"), n), n), "substring-anchors")
     contexts = _contexts(rows, judged.where(F.col("kind") == EDGE))
     cuts = written(_sorted_edges(contexts), "substring-cuts")
     return rows, judged.where(F.col("kind") == WHOLE).select("uid", "at", "size").unionByName(cuts)
