@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cauce.operators.columns import q
 from cauce.session import persist_for_job
 
 # Largest side we broadcast after measuring it (bytes of UnsafeRow data).
@@ -24,7 +25,7 @@ def _row_bytes(df: DataFrame) -> Column:
     fields = df.schema.fields
     size: Column = F.lit(8 * ((len(fields) + 63) // 64) + 8 * len(fields)).cast("long")
     for f in fields:
-        c = F.col("`" + f.name.replace("`", "``") + "`")
+        c = q(f.name)
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             var = F.coalesce(F.octet_length(c), F.lit(0))
         elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
@@ -54,9 +55,21 @@ def broadcast_if_small(
     _, nbytes = measured_size(df)
     if nbytes <= max_bytes:
         return F.broadcast(df), True
+    if persist:  # a large side is read once more by the shuffle; nothing of it stays on disk
+        df.unpersist(blocking=False)
     return df, False
 
 
+def _spread_nulls(df: DataFrame, keys: Sequence[str], others: Sequence[str], name: str) -> DataFrame:
+    """Adds the hash of the keys, or of the other columns where a key is null. Rows without a
+    key meet nothing; joined on this hash too, they don't all go to one partition."""
+    missing: Column = F.lit(False)
+    for k in keys:
+        missing = missing | q(k).isNull()
+    salt = F.xxhash64(*[q(c) for c in others]) if others else F.lit(0)
+    return df.withColumn(name, F.when(missing, salt).otherwise(F.xxhash64(*[q(k) for k in keys])))
+
+
 def left_join(
     left: DataFrame,
     right: DataFrame,
@@ -70,11 +83,13 @@ def left_join(
 
     ``broadcast``: ``"auto"`` measures the right side and broadcasts it when small,
     ``"yes"`` trusts the caller's bound, ``"no"`` leaves the choice to the planner/AQE.
-    ``null_safe=True`` matches null keys with each other (pandas merge semantics).
+    ``null_safe=True`` matches null keys with each other (pandas merge semantics); otherwise
+    left rows with a null key meet nothing, and a shuffle join deals them over all partitions.
     """
     keys = [on] if isinstance(on, str) else list(on)
+    small = broadcast == "yes"
     if broadcast == "auto":
-        right, _ = broadcast_if_small(right, max_broadcast_bytes)
+        right, small = broadcast_if_small(right, max_broadcast_bytes)
     elif broadcast == "yes":
         right = F.broadcast(right)
     # output order: left columns, then the right side's non-key columns (pandas merge)
@@ -83,12 +98,16 @@ def left_join(
     if clash:
         raise ValueError(f"columns {clash} exist on both sides; rename one side first")
     if not null_safe:
-        return left.join(right, keys, "left").select(
-            *[F.col(f"`{c}`") for c in left.columns],
-            *[F.col(f"`{c}`") for c in extra],
-        )
+        columns = [q(c) for c in [*left.columns, *extra]]
+        if small or any(left.schema[k].dataType != right.schema[k].dataType for k in keys):
+            return left.join(right, keys, "left").select(*columns)
+        spread = "__key_hash"
+        hashable = [f.name for f in left.schema if f.name not in keys and isinstance(f.dataType, T.AtomicType)]
+        left = _spread_nulls(left, keys, hashable, spread)
+        right = _spread_nulls(right.dropna(subset=keys), keys, [], spread)
+        return left.join(right, [*keys, spread], "left").select(*columns)
     renamed = right.select(
-        *[F.col(c).alias(f"__r_{c}") if c in keys else F.col(c) for c in right.columns]
+        *[q(c).alias(f"__r_{c}") if c in keys else q(c) for c in right.columns]
     )
     cond = None
     for k in keys:
@@ -96,7 +115,7 @@ def left_join(
         cond = term if cond is None else cond & term
     out = left.join(renamed, cond, "left")
     return out.drop(*[f"__r_{k}" for k in keys]).select(
-        *[F.col(f"`{c}`") for c in left.columns], *[F.col(f"`{c}`") for c in extra]
+        *[q(c) for c in [*left.columns, *extra]]
     )
 
 
@@ -107,11 +126,12 @@ def lookup_join(
     rename: dict[str, str] | None = None,
     broadcast: str = "auto",
     max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-    check_unique: bool = False,
+    check_unique: bool = True,
 ) -> DataFrame:
     """N:1 left join against a table with at most one row per ``key`` (e.g. the output
     of ``latest_per_key``), then rename the attached columns. ``check_unique`` verifies the
-    right key first (one partial aggregate job) and raises on a duplicate."""
+    right key first (one partial aggregate job) and raises on a duplicate; switch it off for
+    a side that is unique by construction."""
     if check_unique:
         assert_unique(right, key)
     out = left_join(left, right, key, broadcast=broadcast, max_broadcast_bytes=max_broadcast_bytes)

@@ -190,6 +190,7 @@ def integrate(
         rename={"municipio": "municipio_renta", "periodo": "periodo_renta"},
         broadcast=broadcast,
         max_broadcast_bytes=max_broadcast_bytes,
+        check_unique=False,  # one row per key by construction
     )
     crime = delitos.select(
         fold_upper(F.col("municipio")).alias("municipio_norm"), "anio", "tipo_delito", "tasa"
@@ -199,7 +200,7 @@ def integrate(
 
 # --- task wrappers / D6 --------------------------------------------------------------
 def clean_task(spark: SparkSession, layout: Layout, source: str) -> str:
-    raw = spark.read.parquet(layout.raw(source))
+    raw = spark.read.parquet(layout.raw(source)).drop("batch_id")  # folder column of a streamed load
     fn = {"renta": clean_income, "delitos": clean_crime, "contact": clean_sessions}[source]
     try:
         return write_parquet(fn(raw), layout.clean(source))

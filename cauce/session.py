@@ -51,8 +51,9 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a folder is created and
-    registered. On a cluster the setting must point at shared storage (HDFS, S3, ...).
+    Read from the session; only when it is unset on a local master (tests) a folder is
+    created and registered. Anywhere else the setting must point at shared storage (HDFS,
+    S3, ...), and leaving it unset is an error.
     """
     try:
         sc = spark.sparkContext
@@ -60,10 +61,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc = None
     root = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="cauce-ckpt-")
-        if sc is None:
+        if sc is None or not sc.master.split("[")[0] == "local":
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        sc.setCheckpointDir(root)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="cauce-ckpt-"))
         root = sc.getCheckpointDir()
     return root.rstrip("/")
 

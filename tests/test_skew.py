@@ -85,3 +85,23 @@ def test_fanout_join_hot_key_with_skew_split(hot, spark):
     assert rows == len(ref)
     assert total == pytest.approx(ref.tasa.sum())
     assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
+
+
+def test_null_keys_are_spread_in_a_shuffle_join(spark):
+    """A third of the left rows has no key: they stay, meet nothing and fill no one partition."""
+    left = spark.range(9000).selectExpr("IF(id % 3 = 0, NULL, id % 100) AS k", "id AS `v``x`")
+    right = spark.range(100).selectExpr("id AS k", "id * 2 AS w").unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) k, 7L w"))
+    auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = joins.left_join(left, right, "k", broadcast="no")
+        rows = out.selectExpr("*", "spark_partition_id() AS p").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert len(rows) == 9000 and out.columns == ["k", "v`x", "w"]
+    assert all(r["w"] == (None if r["k"] is None else 2 * r["k"]) for r in rows)
+    held = [sum(r["k"] is None and r["p"] == p for r in rows) for p in {r["p"] for r in rows}]
+    assert max(held) < 1500

@@ -3,6 +3,9 @@ run while already-loaded files are not read again."""
 
 import os
 
+import pytest
+from pyspark.errors import StreamingQueryException
+
 from cauce.plans import etl
 from cauce.sources.layout import Layout
 from cauce.streaming.ingest import read_streamed_raw, stream_raw
@@ -33,3 +36,17 @@ def test_stream_matches_batch_and_is_incremental(spark, workdir):
     assert names.count("SORIA (PROVINCIA DE)") == 1 and names.count("BURGOS (PROVINCIA DE)") == 1
     clean = etl.clean_crime(after)
     assert clean.count() == 12
+
+
+def test_next_run_goes_on_and_other_headers_are_refused(spark, workdir):
+    folder = os.path.join(workdir, "in", "delitos_por_municipio.csv")
+    write_text(os.path.join(folder, "part-a.csv"), DELITOS_CSV)
+    lay = Layout(in_root=os.path.join(workdir, "in"), out_root=os.path.join(workdir, "out"))
+    _run(spark, lay, "delitos", None)
+    first = read_streamed_raw(spark, lay, "delitos").count()
+    _run(spark, lay, "delitos", None)  # nothing new: nothing loaded twice
+    assert read_streamed_raw(spark, lay, "delitos").count() == first
+    write_text(os.path.join(folder, "part-b.csv"), DELITOS_CSV.replace("2020", "2018"))
+    with pytest.raises(StreamingQueryException):
+        _run(spark, lay, "delitos", None)
+    assert read_streamed_raw(spark, lay, "delitos").count() == first
