@@ -42,10 +42,12 @@ PUNCTUATION = b".,;:!?'\"()-"
 CLASSES = 8
 
 MIN_CHARS = 250
-MIN_WORDS = 80
+MIN_WORDS = 50  # where the base rule ends
 #: Largest distance of a text of endless length, and what sampling noise may add: c / sqrt(n).
 MAX_CHAR_DISTANCE, CHAR_NOISE = 0.20, 2.0
 MAX_WORD_DISTANCE, WORD_NOISE = 0.33, 0.5
+#: Below so many words a histogram is coarser still; labelled clean texts reach c = 0.60, junk begins at 1.0.
+SHORT_WORDS, SHORT_NOISE = 80, 0.8
 
 
 def _class_matrix() -> np.ndarray:
@@ -230,7 +232,8 @@ def judge(text: bytes, reference) -> tuple:
             for w, n in Counter(text.lower().split()).items():
                 counts[common.get(w, len(common))] += n
             by_word = js_distance(counts, ref_words)
-            far |= by_word > MAX_WORD_DISTANCE + WORD_NOISE / n_words**0.5
+            noise = WORD_NOISE if n_words >= SHORT_WORDS else SHORT_NOISE
+            far |= by_word > MAX_WORD_DISTANCE + noise / n_words**0.5
     kept = bool(not base_failed and not far)
     return n_words, word_chars, symbols, dup_lines, repeats, base_failed, kept, by_class, by_word
 
