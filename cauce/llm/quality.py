@@ -11,9 +11,10 @@ word whose share of a language reaches ``SHARE`` cannot stay below a tenth of th
 units that counted it and below it in all others, so each unit (a stretch of one task's rows)
 reports only words above that tenth, and the sums bound every word's share from above; the words
 that may reach ``SHARE`` (at most 1 / (0.9 SHARE) of a language) are then counted over all
-documents. Only these counts reach the driver. Languages with less than ``LANGUAGE_SHARE`` of all
-words have no reference (so there are at most 1 / LANGUAGE_SHARE); their documents are judged by
-the base rule alone.
+documents. Only these counts reach the driver, one reference for each language of ``LEAST_WORDS``
+words or more, however small its share. Documents of smaller languages (a mistyped or missing lang,
+say) are judged by that reference whose common words cover most of the text; if no language is that
+large, by one reference of all documents together.
 
 Defined results: null text has no words and fails the base rule; a null lang is a language of its
 own; repeated rows are judged each; an empty table gives no row; other columns are ignored, or
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from cauce.llm.base import documents
 
 SHARE = 1 / 500
-LANGUAGE_SHARE = 1 / 1000
+LEAST_WORDS = 5000
 UNIT_WORDS = 2_000_000
 
 #: Character classes by byte; bytes that continue a character belong to none.
@@ -170,15 +171,14 @@ def _survey(batches):
     yield _rows([(x, "class", None, k, int(n)) for x, c in classes.items() for k, n in enumerate(c)])
 
 
-def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, dict[bytes, int], np.ndarray]]:
-    """Per language: class counts, common words and their places, counts of these and of all others."""
+def references(docs: DataFrame, least: int = 1) -> dict[str, tuple[np.ndarray, dict[bytes, int], np.ndarray]]:
+    """Per language of ``least`` words or more: class counts, common words and their places, counts
+    of these and of all others."""
     keyed = _keyed(docs)
     found = keyed.mapInArrow(_survey, _COUNTS).groupBy("lang", "kind", "word", "cls").agg(F.sum("n").alias("n"))
     found = found.persist()
     totals = found.where("kind = 'total'").select("lang", F.col("n").alias("total"))
-    whole = totals.agg(F.sum("total")).first()[0] or 0
-    large = {r.lang: r.total for r in totals.where(F.col("total") >= whole * LANGUAGE_SHARE).collect()}
-    large = {k: v for k, v in large.items() if v}
+    large = {r.lang: r.total for r in totals.where(F.col("total") >= least).collect()}
     if not large:
         found.unpersist()
         return {}
@@ -204,9 +204,12 @@ def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, dict[bytes, int],
         yield _rows([(lang, "word", w, None, n) for (lang, w), n in out.items()])
 
     exact = keyed.where(named).mapInArrow(count, _COUNTS).groupBy("lang", "word").agg(F.sum("n").alias("n")).collect()
+    by_lang: dict[str, list] = {x: [] for x in large}
+    for r in exact:
+        by_lang[r.lang].append(r)
     out = {}
     for lang, total in large.items():
-        common = sorted((-r.n, bytes(r.word)) for r in exact if r.lang == lang and r.n >= SHARE * total)
+        common = sorted((-r.n, bytes(r.word)) for r in by_lang[lang] if r.n >= SHARE * total)
         counts = np.array([-n for n, _ in common] + [total + sum(n for n, _ in common)], dtype=np.int64)
         out[lang] = (classes[lang], {w: i for i, (_, w) in enumerate(common)}, counts)
     return out
@@ -215,25 +218,42 @@ def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, dict[bytes, int],
 # -- verdicts ------------------------------------------------------------------------------
 
 
-def judge(text: bytes, reference) -> tuple:
+def standing(docs: DataFrame) -> dict:
+    """References of all languages that are large enough for one, or else one of all documents."""
+    refs = references(docs, LEAST_WORDS)
+    return refs or references(docs.withColumn("lang", F.lit("all")))
+
+
+def meant_for(refs: dict, lang: str) -> list:
+    """The references that may speak for a document of the language."""
+    return [refs[lang]] if lang in refs else list(refs.values())
+
+
+def judge(text: bytes, *references) -> tuple:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept and both
-    distances (null where a guard holds the rule back)."""
+    distances (null where a guard holds the rule back), by the reference whose common words cover
+    the most of the text, and among equals the nearest."""
     n_words, word_chars, symbols, dup_lines, repeats, classes = measures(text)
     base_failed = n_words < 50 or 100 * repeats > 50 * n_words
-    by_class = by_word = None
-    far = False
-    if reference is not None:
-        ref_classes, common, ref_words = reference
-        if classes.sum() >= MIN_CHARS:
+    n_chars = classes.sum()
+    own = Counter(text.lower().split()) if n_words >= MIN_WORDS else {}
+    noise = WORD_NOISE if n_words >= SHORT_WORDS else SHORT_NOISE
+    found = []
+    for ref_classes, common, ref_words in filter(None, references):
+        by_class = by_word = None
+        far, covered = False, 0
+        if n_chars >= MIN_CHARS:
             by_class = js_distance(classes, ref_classes)
-            far |= by_class > MAX_CHAR_DISTANCE + CHAR_NOISE / classes.sum() ** 0.5
+            far |= bool(by_class > MAX_CHAR_DISTANCE + CHAR_NOISE / n_chars**0.5)
         if n_words >= MIN_WORDS:
             counts = np.zeros(len(common) + 1, dtype=np.int64)
-            for w, n in Counter(text.lower().split()).items():
+            for w, n in own.items():
                 counts[common.get(w, len(common))] += n
+            covered = int(counts[:-1].sum())
             by_word = js_distance(counts, ref_words)
-            noise = WORD_NOISE if n_words >= SHORT_WORDS else SHORT_NOISE
             far |= by_word > MAX_WORD_DISTANCE + noise / n_words**0.5
+        found.append((-covered, far, by_word, by_class))
+    _, far, by_word, by_class = min(found, default=(0, False, None, None))
     kept = bool(not base_failed and not far)
     return n_words, word_chars, symbols, dup_lines, repeats, base_failed, kept, by_class, by_word
 
@@ -246,7 +266,7 @@ VERDICT = (
 
 def quality(docs: DataFrame) -> DataFrame:
     """Measures and verdict (``VERDICT``) of every document."""
-    refs = references(docs)
+    refs = standing(docs)
     names = [x.split()[0] for x in VERDICT.split(", ")]
     types = [pa.int64()] * 6 + [pa.bool_()] * 2 + [pa.float64()] * 2
 
@@ -255,7 +275,7 @@ def quality(docs: DataFrame) -> DataFrame:
             texts, out = batch.column("text").cast(pa.binary()), []
             langs = batch.column("lang").to_pylist()
             for i, doc in enumerate(batch.column("doc_id").to_pylist()):
-                out.append((doc, *judge(texts[i].as_py(), refs.get(langs[i]))))
+                out.append((doc, *judge(texts[i].as_py(), *meant_for(refs, langs[i]))))
             columns = zip(*out, strict=True) if out else [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names)
 
@@ -269,7 +289,7 @@ def quality(docs: DataFrame) -> DataFrame:
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows whose text passes, with all their columns."""
-    refs = references(docs)
+    refs = standing(docs)
 
     def run(batches):
         for batch in batches:
@@ -277,7 +297,7 @@ def kept_documents(docs: DataFrame) -> DataFrame:
             keep = []
             for i, lang in enumerate(langs):
                 key = "null" if lang is None else f"={lang}"
-                keep.append(judge(texts[i].as_py() or b"", refs.get(key))[6])
+                keep.append(judge(texts[i].as_py() or b"", *meant_for(refs, key))[6])
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -11,3 +11,20 @@ def test_quality_judges_words_from_fifty_on(spark):
     clean, junk = [r for r in rows if r.quality == 1], [r for r in rows if r.quality == 0]
     assert len(clean) > 100 and len(junk) > 10
     assert all(r.kept for r in clean) and not any(r.kept for r in junk)
+
+
+def test_quality_judges_documents_of_small_languages(spark):
+    """Junk in languages of a few texts goes and clean texts stay, whatever the share of all words."""
+    from pyspark.sql import functions as F
+
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    odd_lang = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("x"), F.col("doc_id"))).otherwise(F.col("lang"))
+    rows = quality.quality(docs.withColumn("lang", odd_lang)).where("NOT base_failed AND doc_id % 2 = 0")
+    rows = rows.join(labels, "doc_id").collect()
+    clean, junk = [r for r in rows if r.quality == 1], [r for r in rows if r.quality == 0]
+    assert len(junk) > 3 and not any(r.kept for r in junk)
+    assert len(clean) > 50 and sum(r.kept for r in clean) >= 0.99 * len(clean)
+    alone = docs.limit(8).withColumn("lang", F.concat(F.lit("x"), F.col("doc_id")))
+    assert all(r.class_distance for r in quality.quality(alone).where("n_words >= 80").collect())
