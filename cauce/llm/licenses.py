@@ -1,7 +1,10 @@
 """License scans by an exact set-similarity join, in DataFrame operations only.
 
-Blocks are the lines of a text, taken as sets of words (ASCII lower-cased runs of letters, digits
-and characters beyond ASCII). A block matches a template if it holds at least ``THRESHOLD`` of the
+Blocks are the lines of a text and, for notices that are wrapped over lines, windows of twice the
+longest template's words that overlap by half, so that any stretch of that template's length lies
+in one of them whole. They are taken as sets of words (ASCII lower-cased runs of letters, digits
+and characters beyond ASCII). Windows are formed only in texts that hold enough words of some
+template as a whole; no other text can have a matching window. A block matches a template if it holds at least ``THRESHOLD`` of the
 template's distinct words. The join is exact:
 
 * the words of all templates are ordered by their number of blocks in the whole corpus, rarest
@@ -83,8 +86,10 @@ def _places(words: Column, phrase: list[str], label: str) -> Column:
     return F.when(last >= 0, found).otherwise(F.array().cast("array<struct<label:string,at:bigint>>"))
 
 
-def measured(docs: DataFrame, phrases, vocabulary: list[str]) -> DataFrame:
-    """One row per document: words, places of the phrases, and its blocks' template words."""
+def measured(docs: DataFrame, phrases, sets: list[tuple[list[str], int]], longest: int) -> DataFrame:
+    """One row per document: words, places of the phrases, and its blocks' template words. ``sets``:
+    each template's words and how many of them a block needs; ``longest``: words of the longest."""
+    vocabulary = sorted({w for own, _ in sets for w in own})
     text = lowered(F.col("text"))
     lines = F.regexp_replace(text, r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+", " ")
     rows = plain(docs).select(
@@ -99,11 +104,24 @@ def measured(docs: DataFrame, phrases, vocabulary: list[str]) -> DataFrame:
     places = F.flatten(F.array(*[_places(F.col("words"), p.split(), label) for p, label in phrases]))
     hit = F.col("lines").rlike(any_phrase)
     blocks = F.transform(F.split("lines", "\n"), lambda x: F.array_intersect(F.split(x, " "), _literal(vocabulary)))
-    # the words of a text are split again only where a phrase occurs
+    held = F.array_distinct(F.flatten("blocks"))
+    may = F.lit(False)
+    for own, need in sets:
+        may = may | (F.size(F.array_intersect("held", _literal(own))) >= need)
+    starts = F.sequence(F.lit(0), F.greatest(F.size("all_words") - longest - 1, F.lit(0)), F.lit(longest))
+    windows = F.transform(
+        starts, lambda i: F.array_intersect(F.slice("all_words", i + 1, F.lit(2 * longest)), _literal(vocabulary))
+    )
+    none = F.array().cast("array<array<string>>")
+    # the words of a text are split again only where a phrase occurs, or a notice may be wrapped
     return (
         rows.withColumn("words", F.when(hit, words))
         .withColumn("places", F.when(F.col("words").isNull(), empty).otherwise(places))
-        .select("uid", "doc_id", "n_words", "places", F.filter(blocks, lambda b: F.size(b) > 0).alias("blocks"))
+        .withColumn("blocks", F.filter(blocks, lambda b: F.size(b) > 0))
+        .withColumn("held", held)
+        .withColumn("all_words", F.when(may & F.col("lines").contains("\n"), words))
+        .withColumn("windows", F.when(F.col("all_words").isNull(), none).otherwise(windows))
+        .select("uid", "doc_id", "n_words", "places", F.concat("blocks", F.filter("windows", lambda b: F.size(b) > 0)).alias("blocks"))
     )
 
 
@@ -111,7 +129,9 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels and score (the largest
     share of a matched template's words in a block; 1 for a base phrase; 0 for none)."""
     sets = [(sorted(set(words_of(t))), label) for t, label in templates]
-    rows = written(measured(docs, phrases, sorted({w for s, _ in sets for w in s})), "license-rows")
+    needs = [(words, math.ceil(threshold * len(words) - 1e-9)) for words, _ in sets]
+    longest = max(len(words_of(t)) for t, _ in templates)
+    rows = written(measured(docs, phrases, needs, longest), "license-rows")
     blocks = rows.select("uid", F.posexplode("blocks").alias("block", "words"))
     counts = {  # one row per template word
         r.word: r.n for r in blocks.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()

@@ -1,6 +1,6 @@
 """Cases that an operator once left out."""
 
-from cauce.llm import quality
+from cauce.llm import licenses, quality
 
 LABELLED = "/root/testdata/sf0.1"
 
@@ -28,3 +28,24 @@ def test_quality_judges_documents_of_small_languages(spark):
     assert len(clean) > 50 and sum(r.kept for r in clean) >= 0.99 * len(clean)
     alone = docs.limit(8).withColumn("lang", F.concat(F.lit("x"), F.col("doc_id")))
     assert all(r.class_distance for r in quality.quality(alone).where("n_words >= 80").collect())
+
+
+def test_wrapped_license_notices(spark):
+    """Each template, broken at every place and set among other lines."""
+    rows, want = [], {}
+    for k, (template, label) in enumerate(licenses.TEMPLATES):
+        words = template.split()
+        for at in range(1, len(words)):
+            for lead in (0, 9, 23):
+                broken = "\n * ".join([" ".join(words[:at]), " ".join(words[at:])])
+                want[len(rows)] = label
+                rows.append((len(rows), "some other word\n" * lead + broken + "\nmore text" * 30))
+        want[len(rows)] = label
+        rows.append((len(rows), "\n".join(words)))
+    apart = len(rows)  # the words are there, but far from each other
+    rows += [(apart + k, ("\n" + "word " * 40 + "\n").join(t.split())) for k, (t, _) in enumerate(licenses.TEMPLATES)]
+    found = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, label in want.items():
+        assert label in found[k].labels.split(","), rows[k]
+        assert found[k].score == 1.0
+    assert all(not found[k].labels for k in range(apart, len(rows)))
