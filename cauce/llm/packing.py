@@ -16,8 +16,9 @@ the pieces where they lie. No shuffle of ids, no queue is ever in one task.
 Defined results: null text counts as empty (the end id alone is packed), a null source is a
 queue of its own, repeated rows are packed each, an empty table gives no piece, other columns
 are ignored whatever their names. Queues are ordered as the rows are read. A very long text is
-cut like any other; it must fit in a task's memory. With more than ``MAX_QUEUES`` sources they
-share that many queues by hash, whose target shares add up.
+cut like any other; it must fit in a task's memory. Every source is a queue of its own, however many
+there are: the driver and each task hold its name, size and weight, and each window costs time in
+proportion to the number of sources.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql.window import Window
 from cauce.llm.base import per_batch, plain, written
 from cauce.llm.tokens import encoder, id_dtype, tokenizer_path, vocabulary_size
 
-MAX_QUEUES = 1024
+_CELLS = 1 << 20  # windows times queues held at once
 _SLICE = 8 << 20  # bytes of ids in one Arrow batch
 
 PIECES = (
@@ -47,8 +48,6 @@ def queued(docs: DataFrame, queue_col: str = "source") -> DataFrame:
     named = plain(docs, queue_col).withColumn(
         "queue", F.coalesce(F.concat(F.lit("="), F.col(queue_col).cast("string")), F.lit("null"))
     )
-    if named.select("queue").distinct().limit(MAX_QUEUES + 1).count() > MAX_QUEUES:
-        named = named.withColumn("queue", F.concat(F.lit("#"), F.pmod(F.xxhash64("queue"), F.lit(MAX_QUEUES))))
     return named.select("doc_id", "text", "queue")
 
 
@@ -113,8 +112,10 @@ def served(weights: np.ndarray, sizes: np.ndarray, totals: np.ndarray) -> np.nda
     short = totals[:, 0] - out.sum(1)
     while (rows := np.flatnonzero(short > 0)).size:  # tokens due at one time: in queue order
         due = np.where(out[rows] < sizes, (out[rows] + 0.5) / weights, np.inf)
-        out[rows, due.argmin(1)] += 1
-        short[rows] -= 1
+        tie = due == due.min(1, keepdims=True)
+        tie &= tie.cumsum(1) <= short[rows, None]
+        out[rows] += tie
+        short[rows] -= tie.sum(1)
     return out
 
 
@@ -133,12 +134,25 @@ def cut(ids_table: DataFrame, bases: DataFrame, sizes: dict[str, int], length: i
     dtype = np.dtype("<u2")
     names = [x.split()[0] for x in PIECES.split(", ")]
     types = [pa.int64()] * 7 + [pa.string()]
+    step = max(1, _CELLS // len(n))
 
     def make():
         def about(queue: int, at: np.ndarray) -> np.ndarray:
             """The window of a queue's token, give or take one."""
             v = (at + 0.5) / w[queue]
-            return np.minimum(n, np.floor(w * v[:, None] + 0.5)).sum(1).astype(np.int64) // length
+            parts = [v[i : i + step] for i in range(0, len(v), step)]
+            return np.concatenate([np.minimum(n, np.floor(w * x[:, None] + 0.5)).sum(1) for x in parts]).astype(np.int64) // length
+
+        def boundaries(need: np.ndarray, queues: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Of these queues, the first token of each window and the tokens of queues before it there."""
+            edges = np.empty((len(need), len(queues)), dtype=np.int64)
+            lead = np.empty((max(len(need) - 1, 0), len(queues)), dtype=np.int64)
+            for i in range(0, max(len(need) - 1, 1), step):
+                bounds = served(w, n, need[i : i + step + 1] * length)
+                edges[i : i + len(bounds)] = bounds[:, queues]
+                taken = np.diff(bounds, axis=0)
+                lead[i : i + len(taken)] = (taken.cumsum(1) - taken)[:, queues]
+            return edges, lead
 
         def work(batch):
             queue = np.array([index[q] for q in batch.column("queue").to_pylist()], dtype=np.int64)
@@ -151,18 +165,19 @@ def cut(ids_table: DataFrame, bases: DataFrame, sizes: dict[str, int], length: i
                 last[own] = np.minimum(about(q, start[own] + size[own] - 1) + 3, windows)
             doc_ids, columns = batch.column("doc_id").to_pylist(), [[] for _ in names]
             raw = batch.column("ids")
-            step = max(1, (1 << 20) // len(n))  # bounds the table of boundaries held at once
             at = 0
             while at < len(queue):
                 end, width = at, 0
-                while end < len(queue) and (end == at or width + last[end] - first[end] < step):
+                while end < len(queue) and (
+                    end == at or (width + last[end] - first[end]) * min(end - at + 1, len(n)) < _CELLS
+                ):
                     width += last[end] - first[end]
                     end += 1
                 need = np.unique(np.concatenate([np.arange(a, b + 1) for a, b in zip(first[at:end], last[at:end], strict=True)]))
-                bounds = served(w, n, need * length)
-                lead = np.diff(bounds, axis=0).cumsum(1) - np.diff(bounds, axis=0)  # tokens of queues before
+                own, column_of = np.unique(queue[at:end], return_inverse=True)
+                bounds, lead = boundaries(need, own)
                 for i in range(at, end):
-                    ids, q, lo = np.frombuffer(raw[i].as_py(), dtype=dtype).astype("<u4"), queue[i], int(start[i])
+                    ids, q, lo = np.frombuffer(raw[i].as_py(), dtype=dtype).astype("<u4"), column_of[i - at], int(start[i])
                     k = np.searchsorted(need, first[i])
                     edge = bounds[k : k + last[i] - first[i] + 1, q]
                     j = int(np.searchsorted(edge, lo, "right")) - 1
@@ -173,7 +188,7 @@ def cut(ids_table: DataFrame, bases: DataFrame, sizes: dict[str, int], length: i
                             window = int(first[i]) + j
                             row = (
                                 doc_ids[i], pos, take, zlib.crc32(ids[pos : pos + take].tobytes()), total,
-                                window, int(lead[k + j, q]) + lo + pos - int(edge[j]), order[q],
+                                window, int(lead[k + j, q]) + lo + pos - int(edge[j]), order[queue[i]],
                             )
                             for c, x in zip(columns, row, strict=True):
                                 c.append(x)
@@ -207,7 +222,7 @@ def pack(
     before = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # a written table has a known size, by which Spark chooses between broadcast and shuffle
     bases = written(by_part.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))), "pack-bases")
-    sizes = {r.queue: r.n for r in bases.groupBy("queue").agg(F.sum("n").alias("n")).collect()}  # MAX_QUEUES rows
+    sizes = {r.queue: r.n for r in bases.groupBy("queue").agg(F.sum("n").alias("n")).collect()}  # one row for each source
     if not sizes:
         return docs.sparkSession.createDataFrame([], PIECES)
     own = {("null" if k is None else f"={k}"): v for k, v in (weights or {}).items()}

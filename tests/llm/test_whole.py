@@ -1,6 +1,9 @@
 """Cases that an operator once left out."""
 
-from cauce.llm import licenses, quality
+import numpy as np
+import pytest
+
+from cauce.llm import licenses, packing, quality
 
 LABELLED = "/root/testdata/sf0.1"
 
@@ -49,3 +52,35 @@ def test_wrapped_license_notices(spark):
         assert label in found[k].labels.split(","), rows[k]
         assert found[k].score == 1.0
     assert all(not found[k].labels for k in range(apart, len(rows)))
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_packing_keeps_every_source(spark, weighted):
+    """1500 sources, each within a token of its share in all windows while it lasts."""
+    rng = np.random.default_rng(6)
+    sources = [None, *(f"s{i}" for i in range(1499))]
+    rows = [(i, " ".join(["word"] * int(rng.integers(1, 25))), s) for i, s in enumerate(sources)]
+    own = {s: float(rng.integers(1, 4)) for s in sources} if weighted else None
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    pieces = packing.pack(docs, length=512, weights=own).collect()
+    sizes = {p.doc_id: p.doc_tokens for p in pieces}
+    assert len(sizes) == len(rows) and sum(p.length for p in pieces) == sum(sizes.values())
+    n = np.array([sizes[i] for i in range(len(rows))])
+    w = np.array([own[s] for s in sources]) if weighted else n.astype(float)
+    assert {p.queue for p in pieces} == {"null", *(f"={s}" for s in sources[1:])}
+    held = np.zeros((1 + max(p.sequence_id for p in pieces), len(rows)), dtype=np.int64)
+    ends = {}
+    for p in pieces:
+        held[p.sequence_id, p.doc_id] += p.length
+        ends.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    for parts in ends.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+    assert (held[:-1].sum(1) == 512).all()
+    taken = held.cumsum(0)
+    lasting = (taken < n).all(1)
+    assert lasting.any()
+    share = taken[lasting].sum(1, keepdims=True) * w / w.sum()
+    assert np.abs(taken[lasting] - share).max() < 1.5
