@@ -16,6 +16,8 @@ have an equal in another document need ordering at all:
    symbols to the shallow depth, then blind tries for the groups that are still equal: a node
    skips to the first byte in which any member differs from its leader and branches there. Suffixes
    that are equal to ``LENGTH`` bytes end in one leaf; all but those of the least doc_id repeat.
+   A gram with more than ``HOT_CONTEXTS`` such contexts is not sorted in one task: its strings are
+   dealt by all their bytes, with the least doc_id taken before the shuffle, so only equals meet.
 4. The ranges of all repeats of a document are joined to its text, merged and cut out.
 
 Contexts are compared by 64-bit hashes of gram and of first and last string together (118 bits).
@@ -117,7 +119,9 @@ _ROW = ("h", "c", "doc", "uid", "at")
 _BLOCK = "part int, h array<long>, c array<long>, doc array<long>, uid array<long>, at array<int>"
 _TYPES = [pa.int64()] * 4 + [pa.int32()]
 STRETCH = 4 << 20  # bytes hashed at once
-WHOLE, EDGE = 2, 3
+WHOLE, EDGE, HOT = 2, 3, 4
+HOT_CONTEXTS = 1 << 15
+MOST_ANCHORS = 1 << 21  # of one gram held at once
 
 
 def _batch(names: str, types: list, *columns) -> pa.RecordBatch:
@@ -198,9 +202,11 @@ _RANGE = "uid long, at int, size int, h long, doc long, kind int"
 _RANGE_TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
 
 
-def _groups(batches, key: str, limit: int):
-    """Record batches joined into tables that hold whole runs of equal ``key``."""
+def _groups(batches, key: str, limit: int, most: int | None = None):
+    """Record batches joined into tables that hold whole runs of equal ``key``, each with the keys
+    whose run is not whole in it as it has ``most`` rows or more."""
     held: list[pa.RecordBatch] = []
+    torn: list[int] = []
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -208,12 +214,16 @@ def _groups(batches, key: str, limit: int):
         if held and sum(b.num_rows for b in held) + len(keys) >= limit:
             cut = int(np.searchsorted(keys != held[-1].column(key)[-1].as_py(), True)) if keys[0] == held[-1].column(key)[-1].as_py() else 0
             if cut < len(keys):
-                yield pa.Table.from_batches([*held, batch.slice(0, cut)])
-                held = []
+                yield pa.Table.from_batches([*held, batch.slice(0, cut)]), torn
+                held, torn = [], []
                 batch = batch.slice(cut)
         held.append(batch)
+        if most and sum(b.num_rows for b in held) >= most:
+            last = batch.column(key)[-1].as_py()
+            yield pa.Table.from_batches(held), [*torn, last]
+            held, torn = [], [last]
     if held:
-        yield pa.Table.from_batches(held)
+        yield pa.Table.from_batches(held), torn
 
 
 def _whole(uid, at, size):
@@ -223,10 +233,12 @@ def _whole(uid, at, size):
 
 
 def _judged(blocks: DataFrame, n: int) -> DataFrame:
-    """Ranges that repeat as a whole (WHOLE) and those whose strings are to be sorted (EDGE)."""
+    """Ranges that repeat as a whole (WHOLE) and those whose strings are to be compared, by sorting
+    (EDGE) or, for grams of too many contexts, one by one (HOT)."""
+    most, hot_contexts = MOST_ANCHORS, HOT_CONTEXTS
 
     def run(batches):
-        for table in _groups(batches, "h", 1 << 20):
+        for table, torn in _groups(batches, "h", 1 << 20, most):
             h, c, doc, uid, at = (table.column(x).to_numpy() for x in ("h", "c", "doc", "uid", "at"))
             ready = np.flatnonzero(at < 0)
             if len(ready):
@@ -243,13 +255,16 @@ def _judged(blocks: DataFrame, n: int) -> DataFrame:
             several = (np.maximum.reduceat(own, start) > np.minimum.reduceat(own, start))[group]
             contexts = np.add.reduceat(new_c.astype(np.int64), start)[group]
             whole = own > least
-            edge = ~whole & several & (contexts > 1)
+            # of a torn run this table cannot tell: all that is not settled goes on
+            part = np.isin(h[order], np.array(torn, dtype=np.int64))
+            edge = ~whole & (several & (contexts > 1) | part)
+            hot = part | (np.add.reduceat(edge.astype(np.int64), start)[group] > hot_contexts)
             i = order[whole]
             if len(i):
                 yield from _whole(uid[i], at[i], size[i])
             i = order[edge]
             if len(i):
-                yield _batch(_RANGE, _RANGE_TYPES, uid[i], at[i], size[i], h[i], doc[i], np.full(len(i), EDGE, np.int32))
+                yield _batch(_RANGE, _RANGE_TYPES, uid[i], at[i], size[i], h[i], doc[i], np.where(hot[edge], HOT, EDGE).astype(np.int32))
 
     rows = blocks.repartitionById(n, "part").select(F.inline(F.arrays_zip(*_ROW)))
     return rows.sortWithinPartitions("h").mapInArrow(run, _RANGE)
@@ -361,13 +376,14 @@ def _gathered(run, rows: int = 20_000):
 
 
 _CUT = "uid long, at int, size int"
+_STRING = "string binary, doc long, uid long, at int"
 
 
 def _sorted_edges(contexts: DataFrame) -> DataFrame:
     """Ranges of the strings that a smaller doc_id has too."""
 
     def run(batches):
-        for table in _groups(batches, "h", 1 << 15):
+        for table, _ in _groups(batches, "h", 1 << 15):
             doc, uid, at = (table.column(x).to_numpy() for x in ("doc", "uid", "at"))
             parts = table.column("context").to_pylist()
             sizes = np.array([len(p) for p in parts], dtype=np.int64)
@@ -393,6 +409,27 @@ def _sorted_edges(contexts: DataFrame) -> DataFrame:
     return contexts.repartition(n, "h").sortWithinPartitions("h").mapInArrow(run, _CUT)
 
 
+def _equal_strings(contexts: DataFrame) -> DataFrame:
+    """The same ranges, string by string: rows of a hot gram meet only where all bytes are equal."""
+
+    def run(batches):
+        types = [pa.binary(), pa.int64(), pa.int64(), pa.int32()]
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                parts = part.column("context").to_pylist()
+                counts = np.array([len(p) - LENGTH + 1 for p in parts], dtype=np.int64)
+                row = np.repeat(np.arange(len(parts)), counts)
+                inner = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+                doc, uid, first = (part.column(x).to_numpy()[row] for x in ("doc", "uid", "at"))
+                strings = [p[k : k + LENGTH] for p in parts for k in range(len(p) - LENGTH + 1)]
+                yield _batch(_STRING, types, strings, doc, uid, (first + inner).astype(np.int32))
+
+    strings = written(contexts.mapInArrow(run, _STRING), "substring-strings")
+    least = strings.groupBy("string").agg(F.min("doc").alias("least"), F.max("doc").alias("last")).where("least < last")
+    return strings.join(least, "string").where("doc > least").select("uid", "at", F.lit(LENGTH).alias("size"))
+
+
 # -- the operator --------------------------------------------------------------------------
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
@@ -408,6 +445,9 @@ def _ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     judged = written(_judged(_found(rows.select("uid", "doc", "text"), n), n), "substring-anchors")
     contexts = _contexts(rows, judged.where(F.col("kind") == EDGE))
     cuts = written(_sorted_edges(contexts), "substring-cuts")
+    hot = judged.where(F.col("kind") == HOT)
+    if not hot.isEmpty():
+        cuts = cuts.unionByName(written(_equal_strings(_contexts(rows, hot)), "substring-hot-cuts"))
     return rows, judged.where(F.col("kind") == WHOLE).select("uid", "at", "size").unionByName(cuts)
 
 

@@ -3,7 +3,9 @@
 import numpy as np
 import pytest
 
-from cauce.llm import licenses, packing, quality
+from cauce.llm import licenses, packing, quality, substrings
+
+from .test_operators import brute_removal, tally
 
 LABELLED = "/root/testdata/sf0.1"
 
@@ -84,3 +86,31 @@ def test_packing_keeps_every_source(spark, weighted):
     assert lasting.any()
     share = taken[lasting].sum(1, keepdims=True) * w / w.sum()
     assert np.abs(taken[lasting] - share).max() < 1.5
+
+
+@pytest.mark.parametrize("most", [1 << 21, 64])
+def test_substrings_of_a_hot_gram(spark, monkeypatch, most):
+    """A phrase with different text around it, some of which a few documents share."""
+    monkeypatch.setattr(substrings, "HOT_CONTEXTS", 30)
+    monkeypatch.setattr(substrings, "MOST_ANCHORS", most)
+    calls, own = [], substrings._equal_strings
+    monkeypatch.setattr(substrings, "_equal_strings", lambda c: calls.append(1) or own(c))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    rng = np.random.default_rng(9)
+    letters = list("abcdefghijklmnop ")
+    sides = ["".join(rng.choice(letters, 60)) for _ in range(40)]
+    rows = []
+    for i in range(400):
+        before, after = "".join(rng.choice(letters, 60)), "".join(rng.choice(letters, 60))
+        if i % 3 == 0:
+            before = before[:40] + sides[i % 40][:20]
+        if i % 5 == 0:
+            after = sides[i % 40][: 10 + i % 30] + after
+        rows.append((int(rng.integers(0, 300)) if i % 50 else None, before + "https://www.example.org/index?page=" + after))
+    try:
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        out = substrings.remove_repeats(docs).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert calls and sum(r.n_removed for r in out) > 1000
+    assert tally((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in out) == tally(brute_removal(rows))
