@@ -60,14 +60,51 @@ def broadcast_if_small(
     return df, False
 
 
-def _spread_nulls(df: DataFrame, keys: Sequence[str], others: Sequence[str], name: str) -> DataFrame:
-    """Adds the hash of the keys, or of the other columns where a key is null. Rows without a
-    key meet nothing; joined on this hash too, they don't all go to one partition."""
-    missing: Column = F.lit(False)
+def _name(base: str, *frames: DataFrame) -> str:
+    """A column name that none of the frames has (compared without case, as Spark does)."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
+def _all_present(keys: Sequence[str]) -> Column:
+    """No key is null (NaN is a value: it meets NaN)."""
+    out: Column = F.lit(True)
     for k in keys:
-        missing = missing | q(k).isNull()
-    salt = F.xxhash64(*[q(c) for c in others]) if others else F.lit(0)
-    return df.withColumn(name, F.when(missing, salt).otherwise(F.xxhash64(*[q(k) for k in keys])))
+        out = out & q(k).isNotNull()
+    return out
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
+    """Keys that more than one ``parts``-th of the rows hold: fewer than ``parts`` of them."""
+    present = df.where(_all_present(keys)).select(*[q(k) for k in keys])
+    limit = present.count() / parts
+    n = _name("n", present)
+    return present.groupBy(*[q(k) for k in keys]).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > limit).drop(n)
+
+
+def _dealt(left: DataFrame, right: DataFrame, keys: Sequence[str], parts: int | None) -> tuple[DataFrame, DataFrame, str]:
+    """Both sides with a further key, so that neither rows without a key nor those of a hot key go
+    to one partition. Rows without a key meet nothing and get any number; a hot key's left rows get one of
+    ``parts`` numbers, and its right rows are repeated for each; all others get 0."""
+    salt, flag = _name("salt", left, right), _name("hot", left, right)
+    others = [q(f.name) for f in left.schema if f.name not in keys and isinstance(f.dataType, T.AtomicType)]
+    spread = F.xxhash64(F.spark_partition_id(), *others)
+    right = right.where(_all_present(keys))
+    zero = F.lit(0).cast("long")
+    if not parts:
+        left = left.withColumn(salt, F.when(_all_present(keys), zero).otherwise(spread))
+        return left, right.withColumn(salt, zero), salt
+    hot = hot_keys(left, keys, parts).withColumn(flag, F.lit(True))  # fewer than ``parts`` rows
+    left = left.join(F.broadcast(hot), list(keys), "left").withColumn(
+        salt, F.when(~_all_present(keys), spread).when(F.col(flag), F.pmod(spread, F.lit(parts))).otherwise(zero)
+    )
+    numbers = F.sequence(zero, F.lit(parts - 1).cast("long"))
+    right = right.join(F.broadcast(hot), list(keys), "left").withColumn(
+        salt, F.explode(F.when(F.col(flag), numbers).otherwise(F.array(zero)))
+    )
+    return left.drop(flag), right.drop(flag), salt
 
 
 def left_join(
@@ -77,6 +114,7 @@ def left_join(
     null_safe: bool = False,
     broadcast: str = "auto",
     max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+    salt_hot: str = "auto",
 ) -> DataFrame:
     """Left outer equi-join on same-named key(s). Every left row is kept; a left
     row meets every matching right row (fan-out).
@@ -85,6 +123,10 @@ def left_join(
     ``"yes"`` trusts the caller's bound, ``"no"`` leaves the choice to the planner/AQE.
     ``null_safe=True`` matches null keys with each other (pandas merge semantics); otherwise
     left rows with a null key meet nothing, and a shuffle join deals them over all partitions.
+    NaN meets NaN and -0.0 meets 0.0 in every form. ``salt_hot``: in a shuffle join, keys that hold
+    more than a partition's share of the left rows are measured (one more pass over the left keys)
+    and dealt over all partitions: ``"yes"``, ``"no"``, or ``"auto"``: only where the session
+    doesn't split skewed partitions itself (AQE). Not used with ``null_safe``.
     """
     keys = [on] if isinstance(on, str) else list(on)
     small = broadcast == "yes"
@@ -99,13 +141,14 @@ def left_join(
         raise ValueError(f"columns {clash} exist on both sides; rename one side first")
     if not null_safe:
         columns = [q(c) for c in [*left.columns, *extra]]
-        if small or any(left.schema[k].dataType != right.schema[k].dataType for k in keys):
+        if small:
             return left.join(right, keys, "left").select(*columns)
-        spread = "__key_hash"
-        hashable = [f.name for f in left.schema if f.name not in keys and isinstance(f.dataType, T.AtomicType)]
-        left = _spread_nulls(left, keys, hashable, spread)
-        right = _spread_nulls(right.dropna(subset=keys), keys, [], spread)
-        return left.join(right, [*keys, spread], "left").select(*columns)
+        conf = left.sparkSession.conf
+        splits = conf.get("spark.sql.adaptive.enabled") == conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+        salted = salt_hot == "yes" or (salt_hot == "auto" and not splits)
+        parts = int(conf.get("spark.sql.shuffle.partitions")) if salted else None
+        left, right, salt = _dealt(left, right, keys, parts)
+        return left.join(right, [*keys, salt], "left").select(*columns)
     renamed = right.select(
         *[q(c).alias(f"__r_{c}") if c in keys else q(c) for c in right.columns]
     )
