@@ -75,18 +75,12 @@ def _rank_in(v: Column, bounds: Column, lo: int, hi: int) -> Column:
     return F.when(v > bounds[mid], _rank_in(v, bounds, mid + 1, hi)).otherwise(_rank_in(v, bounds, lo, mid))
 
 
-def value_counts(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
-    """(group..., ``__v``, ``__w``): each distinct non-null, non-NaN value of ``col`` per
-    group with its row count, persisted for reuse. Partial aggregation collapses hot
-    values before the shuffle; every statistic below is computed from this table, so the
-    source is scanned once. Without ``by`` the group is a constant ``__g``."""
-    v = q(col).cast("double")
-    base = df.select(*[q(g).alias(g) for g in by], v.alias("__v"))
+def _values(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
+    """(group..., ``__v``): the non-null, non-NaN values. Without ``by`` the group is a constant ``__g``."""
+    base = df.select(*[q(g).alias(g) for g in by], q(col).cast("double").alias("__v"))
     if not by:
         base = base.withColumn("__g", F.lit(0))
-    base = base.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    keys = list(by) or ["__g"]
-    return persist_for_job(base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__w")))
+    return base.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
 
 
 def quantiles(
@@ -96,111 +90,100 @@ def quantiles(
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
     method: str = "exact",
-    buckets: int = 64,
+    buckets: int = 128,
     accuracy: int = 10_000,
-    max_sort_rows: int = 2_000_000,
-    max_levels: int = 8,
+    max_sort_rows: int = 1_000_000,
 ) -> DataFrame:
     """Quantiles of ``col`` per group with linear interpolation between order statistics
     (pandas/numpy default, SQL ``percentile_cont``). One row per group, one column per
     probability. ``method="approx"`` uses ``percentile_approx`` (bounded sketch); the
-    exact method is ``quantiles_from_counts`` over ``value_counts``."""
+    exact method is ``selected_quantiles``. Groups that are null are left out."""
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
     keys = list(by) or ["__g"]
+    rows = _values(df, col, by)
     if method == "approx":
-        v = q(col).cast("double")
-        base = df.select(*[q(g).alias(g) for g in by], v.alias("__v"))
-        if not by:
-            base = base.withColumn("__g", F.lit(0))
-        base = base.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-        agg = base.groupBy(*keys).agg(F.percentile_approx("__v", list(probs), accuracy).alias("__q"))
+        agg = rows.groupBy(*keys).agg(F.percentile_approx("__v", list(probs), accuracy).alias("__q"))
         return agg.select(*by, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
-    vc = value_counts(df, col, by)
-    out = quantiles_from_counts(vc, keys, probs, names, buckets, accuracy, max_sort_rows, max_levels)
-    return out.select(*by, *names)
+    return selected_quantiles(rows, keys, probs, names, buckets, accuracy, max_sort_rows).select(*by, *names)
 
 
-def quantiles_from_counts(
-    vc: DataFrame,
+def selected_quantiles(
+    rows: DataFrame,
     keys: Sequence[str],
     probs: Sequence[float],
     names: Sequence[str],
-    buckets: int = 64,
+    buckets: int = 128,
     accuracy: int = 10_000,
-    max_sort_rows: int = 2_000_000,
-    max_levels: int = 8,
+    max_sort_rows: int = 1_000_000,
 ) -> DataFrame:
-    """Exact quantiles from a value-count table, by iterative selection; no task sorts
-    more than ``max_sort_rows`` distinct values, however large or skewed a group is:
-      1. every wanted rank starts with the value interval [-inf, +inf] of its group and a
-         rank offset 0;
-      2. while some interval holds more than ``max_sort_rows`` distinct values, it is cut
-         into ``buckets`` ranges by an approximate sketch; exact per-range counts locate
-         the range holding the rank, which becomes the new interval (offset += rows
-         before it). Intervals of a group are disjoint, so each value row belongs to at
-         most one of them;
-      3. the final small intervals are sorted in their own window partitions to read the
-         exact order statistics, then neighbours are interpolated.
-    Per level the driver reads one number (the largest interval size); the per-level
-    target table (groups x probabilities rows) is checkpointed to cut the lineage.
+    """Exact quantiles of ``rows`` (keys, ``__v``) by selecting ranks on the rows themselves; no table
+    of their values is built:
+      1. every wanted rank starts with all values of its group and no rows before it;
+      2. an interval of more than ``max_sort_rows`` rows is cut by the quantiles of a bounded
+         sketch (one pass over the rows). A second pass counts the rows of each bucket exactly; a cut
+         value is a bucket of its own, so a hot value is set apart at once. The bucket that holds the
+         rank is the next interval. Passes shuffle sketches and bucket counts alone;
+      3. an interval of one value is done. What is left of the others, at most ``max_sort_rows``
+         rows each, is sorted in a window partition of its own.
+    Each level divides an interval's rows by about ``buckets``. The driver reads one number per
+    level; the table of ranks (groups x probabilities rows) is checkpointed to cut the lineage.
     """
     from cauce.session import checkpoint_root
 
     keys = list(keys)
-    checkpoint_root(vc.sparkSession)
+    checkpoint_root(rows.sparkSession)
     prob_arr = F.array(*[F.lit(float(p)) for p in probs])
     seg = ["__lo", "__hi"]
+    ranks = ["__i", "__pos", "__r"]
     targets = (
-        vc.groupBy(*keys).agg(F.sum("__w").alias("__n"))
-        .select(*keys, F.posexplode(prob_arr).alias("__i", "__p"), "__n")
-        .withColumn("__pos", (F.col("__n") - 1) * F.col("__p"))
+        rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__m"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+        .select("*", F.posexplode(prob_arr).alias("__i", "__p"))
+        .withColumn("__pos", (F.col("__m") - 1) * F.col("__p"))
         .withColumn("__r", F.explode(F.array_distinct(F.array(F.floor("__pos"), F.ceil("__pos")))))
         .withColumn("__r", F.col("__r").cast("long"))
-        .select(*keys, "__i", "__pos", "__r",
-                F.lit(float("-inf")).alias("__lo"), F.lit(float("inf")).alias("__hi"), F.lit(0).cast("long").alias("__off"),
-                F.col("__n").alias("__n_rows"))
+        .withColumn("__off", F.lit(0).cast("long"))
+        .select(*keys, *ranks, *seg, "__off", "__m")
         .checkpoint()
     )
 
-    def candidates(tg: DataFrame) -> DataFrame:
-        segs, _ = broadcast_if_small(tg.select(*keys, *seg, "__off").distinct())
-        return vc.join(segs, keys).where((F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
-
-    # a group's distinct values never outnumber its rows: small groups need no refinement
-    # (read from the checkpointed target table, not from the value counts)
-    rows_max = targets.select(F.max(F.col("__n_rows"))).first()[0] or 0
-    for _ in range(max_levels if rows_max > max_sort_rows else 0):
-        cand = candidates(targets)
-        largest = cand.groupBy(*keys, *seg).count().agg(F.max("count")).first()[0] or 0
-        if largest <= max_sort_rows:
-            break
-        cuts = cand.groupBy(*keys, *seg).agg(
+    def inside(segments: DataFrame) -> DataFrame:
+        small, _ = broadcast_if_small(segments)
+        return rows.join(small, keys).where((F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
+
+    open_ = (F.col("__lo") < F.col("__hi")) & (F.col("__m") > max_sort_rows)
+    left = targets.where(open_).count()
+    while left:
+        segments = targets.where(open_).select(*keys, *seg, "__off").distinct()
+        cuts = inside(segments).groupBy(*keys, *seg, "__off").agg(
             F.percentile_approx("__v", [i / buckets for i in range(1, buckets)], accuracy).alias("__b")
+        ).checkpoint()
+        below = _rank_in(F.col("__v"), F.col("__b"), 0, buckets - 1)
+        at_cut = F.coalesce((F.col("__v") == F.get("__b", F.col("__k"))).cast("int"), F.lit(0))
+        per = inside(cuts).withColumn("__k", below).withColumn("__k", 2 * F.col("__k") + at_cut)
+        per = per.groupBy(*keys, *seg, "__off", "__k").agg(
+            F.count(F.lit(1)).alias("__bm"), F.min("__v").alias("__bmin"), F.max("__v").alias("__bmax")
         )
-        tagged = cand.join(F.broadcast(cuts), keys + seg).withColumn(
-            "__k", _rank_in(F.col("__v"), F.col("__b"), 0, buckets - 1)
-        )
-        per = tagged.groupBy(*keys, *seg, "__off", "__k").agg(
-            F.sum("__w").alias("__bw"), F.min("__v").alias("__bmin"), F.max("__v").alias("__bmax")
-        )
-        per = per.withColumn(
-            "__start", F.col("__off") + F.sum("__bw").over(Window.partitionBy(*keys, *seg).orderBy("__k")) - F.col("__bw")
+        before = Window.partitionBy(*keys, *seg).orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)
+        per = per.withColumn("__start", F.col("__off") + F.coalesce(F.sum("__bm").over(before), F.lit(0))).drop("__off")
+        cut = targets.where(open_).drop("__off", "__m").join(per, keys + seg).where(
+            (F.col("__r") >= F.col("__start")) & (F.col("__r") < F.col("__start") + F.col("__bm"))
         )
-        targets = (
-            targets.drop("__off")
-            .join(per, keys + seg)
-            .where((F.col("__r") >= F.col("__start")) & (F.col("__r") < F.col("__start") + F.col("__bw")))
-            .select(*keys, "__i", "__pos", "__r",
-                    F.col("__bmin").alias("__lo"), F.col("__bmax").alias("__hi"), F.col("__start").alias("__off"))
-            .checkpoint()
+        cut = cut.select(
+            *keys, *ranks, F.col("__bmin").alias("__lo"), F.col("__bmax").alias("__hi"), F.col("__start").alias("__off"), F.col("__bm").alias("__m")
         )
+        targets = targets.where(~open_).unionByName(cut).checkpoint()
+        left = targets.where(open_).count()
 
-    cand = candidates(targets)
+    single = F.col("__lo") == F.col("__hi")
+    done = targets.where(single).select(*keys, *ranks, F.col("__lo").alias("__v"))
+    rest = targets.where(~single)
+    few = inside(rest.select(*keys, *seg, "__off").distinct()).groupBy(*keys, *seg, "__off", "__v").agg(F.count(F.lit(1)).alias("__w"))
     run = Window.partitionBy(*keys, *seg).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    cand = cand.withColumn("__end", F.col("__off") + F.sum("__w").over(run))
-    picked = targets.select(*keys, *seg, "__i", "__pos", "__r").join(cand.drop("__off"), keys + seg).where(
+    few = few.withColumn("__end", F.col("__off") + F.sum("__w").over(run)).drop("__off")
+    picked = rest.drop("__off").join(few, keys + seg).where(
         (F.col("__r") >= F.col("__end") - F.col("__w")) & (F.col("__r") < F.col("__end"))
     )
+    picked = done.unionByName(picked.select(*keys, *ranks, "__v"))
     lo = F.min_by("__v", "__r")
     hi = F.max_by("__v", "__r")
     frac = F.first("__pos") - F.min("__r")
@@ -212,13 +195,14 @@ def quantiles_from_counts(
 
 # --- A8 ------------------------------------------------------------------------------
 def describe(
-    df: DataFrame, cols: Sequence[str] | None = None, method: str = "exact"
+    df: DataFrame, cols: Sequence[str] | None = None, method: str = "exact", **selection: int
 ) -> DataFrame:
     """Per numeric column: count, mean, sample std, min, 25/50/75 % quantiles, max
     (NaN and null skipped, as pandas does).
 
     The columns are stacked into (column, value) rows (no shuffle): one grouped aggregate
-    gives the moments of all columns, one value-count table gives all exact quantiles.
+    gives the moments of all columns, rank selection over the same rows all exact quantiles
+    (``selection``: parameters of ``selected_quantiles``).
     """
     cols = list(cols or numeric_columns(df))
     long = df.select(
@@ -237,7 +221,7 @@ def describe(
     if method == "approx":
         qs = quantiles(long, "x", [0.25, 0.5, 0.75], by=["column"], names=stat_names, method="approx")
     else:
-        qs = quantiles_from_counts(value_counts(long, "x", by=["column"]), ["column"], [0.25, 0.5, 0.75], stat_names)
+        qs = quantiles(long, "x", [0.25, 0.5, 0.75], by=["column"], names=stat_names, **selection)
     out = basic.join(qs, "column", "left")
     return out.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
@@ -271,30 +255,28 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
 
 
 # --- A10 -----------------------------------------------------------------------------
-def boxplot_stats(df: DataFrame, value: str, by: str, whisker: float = 1.5, method: str = "exact") -> DataFrame:
+def boxplot_stats(
+    df: DataFrame, value: str, by: str, whisker: float = 1.5, method: str = "exact", **selection: int
+) -> DataFrame:
     """Per group: n, Q1, median, Q3, whiskers (most extreme points inside
     ``whisker`` x IQR of the quartiles) and the number of outliers. Null groups and null
-    values are left out. Everything comes from the per-group value-count table (one scan
-    of the source); the quartile table (one row per group) is broadcast after measuring."""
+    values are left out. The quartiles come from rank selection, the rest from one more pass over the
+    rows; the quartile table (one row per group) is broadcast after measuring."""
     data = df.where(q(by).isNotNull())
-    vc = value_counts(data, value, by=[by])
     names = ["q1", "median", "q3"]
-    if method == "approx":
-        qs = quantiles(data, value, [0.25, 0.5, 0.75], by=[by], names=names, method="approx")
-    else:
-        qs = quantiles_from_counts(vc, [by], [0.25, 0.5, 0.75], names)
+    qs = quantiles(data, value, [0.25, 0.5, 0.75], by=[by], names=names, method=method, **selection)
     iqr = F.col("q3") - F.col("q1")
     qs = qs.withColumn("__lf", F.col("q1") - whisker * iqr).withColumn("__uf", F.col("q3") + whisker * iqr)
     qs_b, _ = broadcast_if_small(qs)
     inside = (F.col("__v") >= F.col("__lf")) & (F.col("__v") <= F.col("__uf"))
-    return vc.join(qs_b, by).groupBy(by).agg(
-        F.sum("__w").alias("n"),
+    return _values(data, value, [by]).join(qs_b, by).groupBy(by).agg(
+        F.count(F.lit(1)).alias("n"),
         F.first("q1").alias("q1"),
         F.first("median").alias("median"),
         F.first("q3").alias("q3"),
         F.min(F.when(inside, F.col("__v"))).alias("whisker_lo"),
         F.max(F.when(inside, F.col("__v"))).alias("whisker_hi"),
-        F.coalesce(F.sum(F.when(~inside, F.col("__w"))), F.lit(0)).alias("n_outliers"),
+        F.count(F.when(~inside, 1)).alias("n_outliers"),
     )
 
 

@@ -463,6 +463,37 @@ def a8_describe(spark, sf):
     return d.select("column", "count", *[r6(c).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
 
 
+_EVENT_NULLS = (
+    "SELECT CASE WHEN event_id % 7 <> 0 THEN event_type END AS event_type, "
+    "CASE WHEN event_id % 5 <> 0 THEN value END AS value, user_id FROM events"
+)
+
+
+def _event_nulls(spark, sf):
+    e = table(spark, sf, "events")
+    return e.select(
+        F.when(F.col("event_id") % 7 != 0, F.col("event_type")).alias("event_type"),
+        F.when(F.col("event_id") % 5 != 0, F.col("value")).alias("value"),
+        "user_id",
+    )
+
+
+@register(
+    "A8_describe_refined",
+    "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 6) AS mean,
+       round(stddev_samp({c}), 6) AS std, round(min({c}), 6) AS min,
+       round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50,
+       round(quantile_cont({c}, 0.75), 6) AS p75, round(max({c}), 6) AS max FROM ({_EVENT_NULLS}) e"""
+        for c in ("value", "user_id")
+    ),
+)
+def a8_describe_refined(spark, sf):
+    """Columns with nulls, selected over several levels."""
+    d = profile.describe(_event_nulls(spark, sf), buckets=16, max_sort_rows=20)
+    return d.select("column", "count", *[r6(c).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
+
+
 @register(
     "A9_histogram",
     """
@@ -504,6 +535,31 @@ def a10_boxplot(spark, sf):
                     "whisker_lo", "whisker_hi", "n_outliers")
 
 
+@register(
+    "A10_boxplot_refined",
+    f"""
+WITH e AS ({_EVENT_NULLS}),
+     q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+                  quantile_cont(value, 0.75) AS q3
+           FROM e WHERE value IS NOT NULL GROUP BY event_type),
+     f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lf, q3 + 1.5 * (q3 - q1) AS uf FROM q)
+SELECT e.event_type, count(*) AS n, round(any_value(f.q1), 6) AS q1, round(any_value(f.median), 6) AS median,
+       round(any_value(f.q3), 6) AS q3,
+       min(CASE WHEN e.value BETWEEN f.lf AND f.uf THEN e.value END) AS whisker_lo,
+       max(CASE WHEN e.value BETWEEN f.lf AND f.uf THEN e.value END) AS whisker_hi,
+       count(*) FILTER (WHERE e.value < f.lf OR e.value > f.uf) AS n_outliers
+FROM e JOIN f ON e.event_type = f.event_type
+WHERE e.value IS NOT NULL
+GROUP BY e.event_type
+""",
+)
+def a10_boxplot_refined(spark, sf):
+    """Null groups and values, selected over several levels."""
+    b = profile.boxplot_stats(_event_nulls(spark, sf), "value", "event_type", buckets=16, max_sort_rows=20)
+    return b.select("event_type", "n", r6("q1").alias("q1"), r6("median").alias("median"), r6("q3").alias("q3"),
+                    "whisker_lo", "whisker_hi", "n_outliers")
+
+
 _CORR_COLS = _LINE_NUM + ("zero_tax",)
 
 

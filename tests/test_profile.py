@@ -104,3 +104,28 @@ def test_describe_keeps_all_null_column(spark):
     rows = {r["column"]: r for r in profile.describe(df).collect()}
     assert rows["a"]["count"] == 2 and rows["a"]["mean"] == 1.5
     assert rows["b"]["count"] == 0 and rows["b"]["mean"] is None and rows["b"]["p50"] is None
+
+
+def test_selection_sets_hot_values_apart(spark):
+    """Two thirds of the rows hold two values; magnitudes differ by hundreds of decades."""
+    rng = np.random.default_rng(3)
+    v = np.concatenate([np.full(1000, 5.0), np.full(1000, -2.5), 10.0 ** rng.uniform(-200, 200, 1000), [0.0, -0.0, np.nan]])
+    df = spark.createDataFrame(pd.DataFrame({"v": rng.permutation(v)})).repartition(4)
+    probs = [0.0, 0.2, 0.3333, 0.5, 0.67, 0.9, 0.999, 1.0]
+    (row,) = profile.quantiles(df, "v", probs, names=[f"p{i}" for i in range(len(probs))], buckets=8, max_sort_rows=5).collect()
+    assert np.allclose(list(row), np.quantile(v[~np.isnan(v)], probs), rtol=1e-12, atol=0)
+    assert profile.quantiles(df.limit(0), "v", [0.5], names=["m"]).count() == 0
+
+
+def test_selection_builds_no_value_table(spark):
+    """Every aggregate over the rows is per group, interval or bucket, but for the last few rows."""
+    df = spark.range(200_000).selectExpr("id % 3 as g", "cast(id as double) as v")
+    before = {id(x) for x in profile_persisted()}
+    profile.quantiles(df, "v", [0.5], by=["g"], names=["m"], max_sort_rows=1000).collect()
+    assert all(x.count() <= 10_000 for x in profile_persisted() if id(x) not in before)
+
+
+def profile_persisted():
+    from cauce import session
+
+    return list(session._persisted())
