@@ -65,11 +65,17 @@ def emails(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def _octet(digits: str) -> bool:
+    """At most 255, with any number of leading zeros."""
+    digits = digits.lstrip("0")
+    return len(digits) < 4 and int(digits or "0") < 256
+
+
 def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     if not DIGIT_OR_AT.search(text):
         return {k: [] for k in KINDS}
     out = {"email": emails(text)}
-    out["ip"] = [m.span() for m in IP.finditer(text) if all(len(x.lstrip("0")) < 4 and int(x) < 256 for x in m[0].split("."))]
+    out["ip"] = [m.span() for m in IP.finditer(text) if all(_octet(x) for x in m[0].split("."))]
     out["card"], out["phone"] = [], []
     for m in CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
