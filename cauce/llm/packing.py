@@ -80,7 +80,7 @@ def tokenised(named: DataFrame, path: str, end_id: int) -> DataFrame:
         width = len(end)
 
         def work(batch):
-            ids = encode(batch.column("text").cast(pa.binary()).to_pylist())
+            ids = encode(batch.column("text"))
             rows = []
             for queue, doc, own in zip(
                 batch.column("queue").to_pylist(), batch.column("doc_id").to_pylist(), ids, strict=True

@@ -124,9 +124,9 @@ def _tokenised(docs: DataFrame, path: str, end_id: int, dtype: str) -> DataFrame
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types, strict=True)], names)
 
         for batch in batches:
-            texts, keys = batch.column("text").cast(pa.binary()), batch.column("doc_id").to_pylist()
-            for at in range(0, len(keys), 256):
-                for doc, own in zip(keys[at : at + 256], encode(texts[at : at + 256].to_pylist()), strict=True):
+            texts, keys = batch.column("text"), batch.column("doc_id").to_pylist()
+            for at in range(0, len(keys), 4096):
+                for doc, own in zip(keys[at : at + 4096], encode(texts[at : at + 4096]), strict=True):
                     doc_ids.append(doc)
                     counts.append(len(own) // width + 1)
                     ids += (own, end)
