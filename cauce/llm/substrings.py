@@ -42,6 +42,7 @@ from cauce.llm.base import documents, partitions, plain, with_uid, written
 LENGTH, GRAM = 50, 24
 SHALLOW = 24
 LAST_ID = (1 << 63) - 1
+PART = 1 << 16  # strings hashed at once
 
 # -- hashing -------------------------------------------------------------------------------
 
@@ -89,11 +90,16 @@ def anchors(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
     and the end): gram hash, context hash, text, first string's start in the text."""
     if len(raw) < LENGTH:
         return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64))
-    gram, whole = gram_hashes(raw, GRAM, LENGTH)
-    bits = max(1, int(len(gram)).bit_length())
-    low = np.uint64((1 << bits) - 1)
-    packed = (gram & ~low) | np.arange(len(gram), dtype=np.uint64)
-    place = (sliding_min(packed, LENGTH - GRAM + 1) & low).astype(np.int64)
+    n = len(raw) - LENGTH + 1  # strings; hashed part by part, so that a part stays in the processor's cache
+    gram, whole = np.empty(len(raw) - GRAM + 1, np.uint64), np.empty(n, np.uint64)
+    place = np.empty(n, np.int64)
+    low = np.uint64((1 << (PART + LENGTH).bit_length()) - 1)
+    for at in range(0, n, PART):
+        size = min(PART, n - at)
+        own, whole[at : at + size] = gram_hashes(raw[at : at + size + LENGTH - 1], GRAM, LENGTH)
+        gram[at : at + len(own)] = own
+        packed = (own & ~low) | np.arange(len(own), dtype=np.uint64)
+        place[at : at + size] = (sliding_min(packed, LENGTH - GRAM + 1) & low).astype(np.int64) + at
     # strings that do not run over the end of their text
     text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[: len(place)]
     inside = np.flatnonzero(np.arange(len(place)) + LENGTH <= starts[1:][text])
@@ -118,7 +124,7 @@ def anchors(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
 _ROW = ("h", "c", "doc", "uid", "at")
 _BLOCK = "part int, h array<long>, c array<long>, doc array<long>, uid array<long>, at array<int>"
 _TYPES = [pa.int64()] * 4 + [pa.int32()]
-STRETCH = 4 << 20  # bytes hashed at once
+STRETCH = 4 << 20  # bytes whose anchors travel together
 WHOLE, EDGE, HOT = 2, 3, 4
 HOT_CONTEXTS = 1 << 15
 MOST_ANCHORS = 1 << 21  # of one gram held at once
