@@ -113,6 +113,31 @@ def s5_csv_default(spark, sf):
     )
 
 
+@register(
+    "S5_csv_typed",
+    """
+SELECT event_id, user_id,
+       CASE WHEN event_id % 3 = 0 THEN NULL WHEN event_id % 3 = 1 THEN event_type || chr(10) || '"' || props || '"'
+            ELSE event_type || ',' || chr(10) || chr(10) || user_id END AS note,
+       value, CASE WHEN event_id % 4 <> 0 THEN value END AS gaps, event_id % 2 = 0 AS even
+FROM events
+""",
+)
+def s5_csv_typed(spark, sf):
+    """Values with quotes, commas and line breaks, gaps written as missing-value words; types found."""
+    e = table(spark, sf, "events")
+    kind = F.col("event_id") % 3
+    note = F.when(kind == 1, F.concat("event_type", F.lit('\n"'), "props", F.lit('"'))).when(
+        kind == 2, F.concat("event_type", F.lit(",\n\n"), F.col("user_id").cast("string"))
+    )
+    rows = e.select(
+        "event_id", "user_id", note.alias("note"), "value",
+        F.when(F.col("event_id") % 4 != 0, F.col("value").cast("string")).otherwise("NA").alias("gaps"),
+        F.when(F.col("event_id") % 2 == 0, "True").otherwise("False").alias("even"),
+    )
+    return S.read_csv_default(spark, write_csv(rows, scratch_dir(spark, "s5t")), infer_types=True)
+
+
 @register("S6_sniffed_scan", f"SELECT *, chr(9) AS sep FROM ({_CUSTOMER_SQL}) c")
 def s6_sniffed_scan(spark, sf):
     path = write_csv(_customer_es(spark, sf), scratch_dir(spark, "s6"), sep="\t", encoding="ISO-8859-1")

@@ -87,12 +87,19 @@ def _string_schema(names: Sequence[str]) -> T.StructType:
 def read_lines(
     spark: SparkSession, path: str | Sequence[str], encoding: str = "ISO-8859-1"
 ) -> DataFrame:
-    """Every non-blank line of the files as ``value`` (decoded with ``encoding``) plus
-    ``_ord``. (``spark.read.text`` would ignore the encoding.)"""
+    """Every physical line of the files as ``value`` (decoded with ``encoding``), blank ones too, plus
+    ``_ord``. Lines are read as bytes and decoded. Encodings that Spark's ``decode`` doesn't take go
+    through a CSV scan, which leaves blank lines out and ends a line at U+0001."""
+    name = _encoding(encoding)
+    if name.upper() in ("ISO-8859-1", "UTF-8", "US-ASCII"):
+        text = F.decode(F.col("value").cast("binary"), name)
+        if name.upper() == "UTF-8":
+            text = F.when(text.startswith("\ufeff"), F.substring(text, 2, 1 << 30)).otherwise(text)
+        return spark.read.text(path).select(text.alias("value"), order_column().alias(ORD))
     df = (
         spark.read.option("sep", _LINE_SEP)
         .option("quote", "")
-        .option("encoding", _encoding(encoding))
+        .option("encoding", name)
         .option("header", "false")
         .schema("value string")
         .csv(path)
@@ -100,6 +107,49 @@ def read_lines(
     return df.select("value", order_column().alias(ORD))
 
 
+def join_quoted_lines(lines: DataFrame) -> DataFrame:
+    """Lines (``value``, ``_ord``) as records: a line break between quotes belongs to the value (and
+    reads as ``\\n``). A record keeps its first line's ``_ord``.
+
+    A line with an odd number of quotes opens or closes a value. One aggregate sums them per input split;
+    if there are none, the lines are returned as they are. Otherwise a running sum over the splits of a
+    file gives each split's state at its start, windows over single splits give every line's, and
+    only the lines of records that span several are shuffled together.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    marked = lines.select(
+        "value", F.col(f"{ORD}.file").alias("file"), F.col(f"{ORD}.block").alias("block"), F.col(f"{ORD}.row").alias("row"),
+        (quotes % 2).cast("int").alias("odd"),
+    )
+    if marked.where("odd = 1").limit(1).isEmpty():
+        return lines
+    place = ["file", "block"]
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = marked.groupBy(*place).agg(F.sum("odd").alias("n"))
+    base = sums.select(*place, (F.coalesce(F.sum("n").over(earlier), F.lit(0)) % 2).alias("base"))  # a row for each split
+    before = Window.partitionBy(*place).orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy(*place).orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
+    state = (F.col("base") + F.coalesce(F.sum("odd").over(before), F.lit(0))) % 2
+    known = marked.join(base, place).withColumn("first", state == 0)
+    known = known.withColumn("start", F.max(F.when(F.col("first"), F.col("row"))).over(upto))
+    last = known.groupBy(*place).agg(F.max("start").alias("row"))
+    held = F.last(F.when(F.col("row").isNotNull(), F.struct("block", "row")), ignorenulls=True).over(earlier)
+    carried = last.select(*place, held.alias("carried"))  # the record that runs into the split
+    known = known.join(carried, place, "left")
+    here = F.struct("block", F.col("start").alias("row"))
+    known = known.withColumn("record", F.when(F.col("start").isNotNull(), here).otherwise(F.col("carried")))
+    whole = F.col("first") & (F.col("odd") == 0)
+    alone = known.where(whole).select("value", F.struct("file", "block", "row").alias(ORD))
+    parts = known.where(~whole).groupBy("file", "record").agg(
+        F.sort_array(F.collect_list(F.struct("block", "row", "value"))).alias("parts")
+    )
+    spanning = parts.select(
+        F.array_join(F.col("parts.value"), "\n").alias("value"),
+        F.struct("file", F.col("record.block").alias("block"), F.col("record.row").alias("row")).alias(ORD),
+    )
+    return alone.unionByName(spanning)
+
+
 def _apply_na(df: DataFrame, names: Sequence[str], na_words: bool) -> DataFrame:
     if not na_words:
         return df
@@ -140,7 +190,7 @@ def read_delimited(
         # the first line of a first split: an incremental limit reads one split only
         first = (
             read_lines(spark, path, encoding)
-            .where(F.col(f"{ORD}.block") == 0)
+            .where((F.col(f"{ORD}.block") == 0) & (F.col("value") != ""))
             .select("value")
             .limit(1)
             .collect()
@@ -171,9 +221,9 @@ def read_delimited(
 
 def header_table(lines: DataFrame, token: str | None, sep: str = ";", max_scan: int = 300) -> DataFrame:
     """Per file of a line scan (``value``, ``_ord``): the first of its first ``max_scan``
-    lines containing ``token`` and ``sep``, else the file's first line (``token=None``:
-    always the first line). One row per file: ``file``, ``header_index`` (0-based among
-    non-blank lines), ``header`` and ``header_ord``.
+    lines containing ``token`` and ``sep``, else the file's first line with any text
+    (``token=None``: always that). One row per file: ``file``, ``header_index`` (0-based among all
+    physical lines), ``header``, ``header_ord`` and ``found`` (false where the first line stands in).
 
     Only first-split lines are ranked, and the ``row_number() <= max_scan`` filter becomes
     a partial window-group limit before the exchange, so the shuffle carries at most
@@ -186,18 +236,16 @@ def header_table(lines: DataFrame, token: str | None, sep: str = ";", max_scan:
         .withColumn("idx", F.col("rn") - 1)
     )
     if token is None:
-        hit = F.col("idx") == 0
+        hit = F.col("value") != ""
     else:
         hit = F.col("value").contains(token) & F.col("value").contains(sep)
-    return head.groupBy("file").agg(
-        F.coalesce(F.min(F.when(hit, F.col("idx"))), F.lit(0)).alias("header_index"),
-        F.coalesce(
-            F.min_by("value", F.when(hit, F.col("idx"))), F.min_by("value", F.col("idx"))
-        ).alias("header"),
-        F.coalesce(
-            F.min_by(ORD, F.when(hit, F.col("idx"))), F.min_by(ORD, F.col("idx"))
-        ).alias("header_ord"),
-    )
+    # the line sought, else the first with any text, else the first
+    rank = F.struct(F.when(hit, 0).when(F.col("value") != "", 1).otherwise(2).alias("kind"), "idx")
+    best = head.groupBy("file").agg(F.min_by(F.struct("idx", "value", ORD, hit.alias("hit")), rank).alias("best"))
+    return best.select(
+        "file", F.col("best.idx").alias("header_index"), F.col("best.value").alias("header"),
+        F.col(f"best.{ORD}").alias("header_ord"), F.col("best.hit").alias("found"),
+    )
 
 
 def locate_header(
@@ -223,10 +271,12 @@ def parse_lines(
     max_scan: int = 300,
     na_words: bool = True,
     max_files: int = 100_000,
+    quoted_breaks: bool = False,
 ) -> DataFrame:
     """Turn a line scan into a table: per file, lines above and including the header are
     dropped, the rest parsed with ``from_csv`` (quotes doubled as in the writer); short
-    rows give nulls, extra fields are dropped. All files must share the first file's
+    rows give nulls, extra fields are dropped, blank lines are none. ``quoted_breaks``: line breaks between
+    quotes belong to the value (``join_quoted_lines``). All files must share the first file's
     header. The header table has one row per file; its row count is checked before it is
     broadcast, and only the header lines (one per file) reach the driver."""
     headers = header_table(lines, token, sep, max_scan)
@@ -252,7 +302,11 @@ def parse_lines(
         lines.withColumn("file", F.col(f"{ORD}.file"))
         .join(hdr, "file")
         .where(F.col(ORD) > F.col("header_ord"))
+        .select("value", ORD)
     )
+    if quoted_breaks:
+        body = join_quoted_lines(body)
+    body = body.where(F.col("value") != "")
     ddl = ", ".join("`" + n.replace("`", "``") + "` STRING" for n in names)
     parsed = F.from_csv("value", ddl, {"sep": sep, "escape": '"', "quote": '"'})
     df = body.select(parsed.alias("r"), ORD).select(
@@ -270,31 +324,59 @@ def read_with_preamble(
     max_scan: int = 300,
     na_words: bool = True,
     max_files: int = 100_000,
+    quoted_breaks: bool = True,
 ) -> DataFrame:
-    """S3: skip everything above the header line of each file, then parse as S1."""
-    return parse_lines(read_lines(spark, path, encoding), token, sep, max_scan, na_words, max_files)
+    """S3: skip everything above the header line of each file, then parse as S1. Quoted line breaks
+    are looked for in one more pass over the files; ``quoted_breaks=False`` leaves it out."""
+    return parse_lines(read_lines(spark, path, encoding), token, sep, max_scan, na_words, max_files, quoted_breaks)
+
+
+def typed(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Text columns as the narrowest type that holds all their values: whole numbers, numbers,
+    ``True``/``False``, else text (a column without values: numbers, as pandas). One aggregate decides
+    for all columns."""
+    names = list(cols or [f.name for f in df.schema if isinstance(f.dataType, T.StringType)])
+    trimmed = {n: F.trim(F.col("`" + n.replace("`", "``") + "`")) for n in names}
+    number = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,3})?|[+-]?(?i:inf|infinity)"
+    tests = {
+        "long": lambda c: c.rlike(r"^[+-]?[0-9]{1,19}$") & c.try_cast("long").isNotNull(),
+        "double": lambda c: c.rlike(f"^({number})$"),
+        "boolean": lambda c: c.isin("True", "False", "TRUE", "FALSE", "true", "false"),
+    }
+    if not names:
+        return df
+    row = df.agg(*[F.bool_and(test(trimmed[n])).alias(f"{kind}{i}") for i, n in enumerate(names) for kind, test in tests.items()]).first()
+    out = []
+    for name in df.columns:
+        own = F.col("`" + name.replace("`", "``") + "`")
+        if name in trimmed:
+            i = names.index(name)
+            kind = "double" if row[f"double{i}"] is None else next((k for k in tests if row[f"{k}{i}"]), None)
+            own = trimmed[name].try_cast(kind).alias(name) if kind else own
+        out.append(own)
+    return df.select(*out)
 
 
 def read_csv_default(
-    spark: SparkSession, path: str, infer_types: bool = False, with_order: bool = False
-) -> DataFrame:
-    """Comma-separated UTF-8 with header; a missing path raises ``FileNotFoundError``.
-
-    ``infer_types`` asks Spark to infer column types (an extra pass over the data); the
-    default keeps every column as text.
+    spark: SparkSession, path: str, infer_types: bool = False, with_order: bool = False, na_words: bool = True,
+    quoted_breaks: bool = True,
+) -> DataFrame:
+    """Comma-separated UTF-8 with header; a missing path raises ``FileNotFoundError``. The usual
+    missing-value words are null (X15), quoted line breaks belong to their value.
+
+    ``infer_types`` decides each column's type from all its values (``typed``, an extra pass over the
+    data); the default keeps every column as text.
     """
-    reader = spark.read.option("header", "true").option("escape", '"').option("quote", '"')
-    if infer_types:
-        reader = reader.option("inferSchema", "true")
     try:
-        df = reader.csv(path)
+        lines = read_lines(spark, path, "UTF-8")
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc):
             raise FileNotFoundError(f"path does not exist: {path}") from exc
         raise
-    if with_order:
-        df = df.select("*", order_column().alias(ORD))
-    return df
+    df = parse_lines(lines, None, ",", na_words=na_words, quoted_breaks=quoted_breaks)
+    if infer_types:
+        df = typed(df, [c for c in df.columns if c != ORD])
+    return df if with_order else df.drop(ORD)
 
 
 def sniff_separator(
@@ -304,11 +386,11 @@ def sniff_separator(
     encoding: str = "ISO-8859-1",
     sample_lines: int = 20,
 ) -> str | None:
-    """First candidate that occurs the same non-zero number of times on each of the
-    first ``sample_lines`` lines; None when none qualifies."""
-    lines = [r["value"] for r in preview_lines(spark, path, sample_lines, encoding).collect()]
+    """First candidate that parts each of the first ``sample_lines`` lines (blank ones aside) into the
+    same number of fields, more than one, quoted ones being whole; None when none qualifies."""
+    lines = [r["value"] for r in preview_lines(spark, path, sample_lines, encoding).collect() if r["value"]]
     for sep in candidates:
-        counts = {line.count(sep) for line in lines}
+        counts = {len(split_header(line, sep)) - 1 for line in lines}
         if lines and len(counts) == 1 and counts.pop() > 0:
             return sep
     return None
@@ -355,6 +437,7 @@ __all__ = [
     "ORD",
     "dedupe_names",
     "header_table",
+    "join_quoted_lines",
     "locate_header",
     "parse_lines",
     "order_column",
@@ -366,4 +449,5 @@ __all__ = [
     "read_with_preamble",
     "sniff_separator",
     "split_header",
+    "typed",
 ]
