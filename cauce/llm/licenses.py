@@ -1,8 +1,9 @@
 """License scans by an exact set-similarity join, in DataFrame operations only.
 
-Blocks are the lines of a text and, for notices that are wrapped over lines, windows of twice the
-longest template's words that overlap by half, so that any stretch of that template's length lies
-in one of them whole. They are taken as sets of words (ASCII lower-cased runs of letters, digits
+Blocks are the lines of a text up to twice the longest template's words and, for longer lines and
+notices that are wrapped over lines, windows of that many words that overlap by half, so that any
+stretch of that template's length lies in one of them whole. No block is longer, so words scattered over a
+long line don't make a notice. Blocks are taken as sets of words (ASCII lower-cased runs of letters, digits
 and characters beyond ASCII). Windows are formed only in texts that hold enough words of some
 template as a whole; no other text can have a matching window. A block matches a template if it holds at least ``THRESHOLD`` of the
 template's distinct words. The join is exact:
@@ -103,8 +104,13 @@ def measured(docs: DataFrame, phrases, sets: list[tuple[list[str], int]], longes
     words = F.split(F.trim(F.regexp_replace("lines", r"[ \n]+", " ")), " ")
     places = F.flatten(F.array(*[_places(F.col("words"), p.split(), label) for p, label in phrases]))
     hit = F.col("lines").rlike(any_phrase)
-    blocks = F.transform(F.split("lines", "\n"), lambda x: F.array_intersect(F.split(x, " "), _literal(vocabulary)))
-    held = F.array_distinct(F.flatten("blocks"))
+    most = 2 * longest + 2  # a line's outer blanks count as two words at most
+    blocks = F.transform(
+        F.transform(F.split("lines", "\n"), lambda x: F.split(x, " ")),
+        lambda x: F.struct(F.array_intersect(x, _literal(vocabulary)).alias("own"), (F.size(x) <= most).alias("short")),
+    )
+    held = F.array_distinct(F.flatten("blocks.own"))
+    whole = F.transform(F.filter("blocks", lambda b: b["short"] & (F.size(b["own"]) > 0)), lambda b: b["own"])
     may = F.lit(False)
     for own, need in sets:
         may = may | (F.size(F.array_intersect("held", _literal(own))) >= need)
@@ -113,15 +119,15 @@ def measured(docs: DataFrame, phrases, sets: list[tuple[list[str], int]], longes
         starts, lambda i: F.array_intersect(F.slice("all_words", i + 1, F.lit(2 * longest)), _literal(vocabulary))
     )
     none = F.array().cast("array<array<string>>")
-    # the words of a text are split again only where a phrase occurs, or a notice may be wrapped
+    # the words of a text are split again only where a phrase occurs, or a notice may be wrapped or in a long line
     return (
         rows.withColumn("words", F.when(hit, words))
         .withColumn("places", F.when(F.col("words").isNull(), empty).otherwise(places))
-        .withColumn("blocks", F.filter(blocks, lambda b: F.size(b) > 0))
+        .withColumn("blocks", blocks)
         .withColumn("held", held)
-        .withColumn("all_words", F.when(may & F.col("lines").contains("\n"), words))
+        .withColumn("all_words", F.when(may & (F.col("lines").contains("\n") | (F.col("n_words") > 2 * longest)), words))
         .withColumn("windows", F.when(F.col("all_words").isNull(), none).otherwise(windows))
-        .select("uid", "doc_id", "n_words", "places", F.concat("blocks", F.filter("windows", lambda b: F.size(b) > 0)).alias("blocks"))
+        .select("uid", "doc_id", "n_words", "places", F.concat(whole, F.filter("windows", lambda b: F.size(b) > 0)).alias("blocks"))
     )
 
 
