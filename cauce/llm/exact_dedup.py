@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cauce.llm.base import documents, plain, unused, with_uid, written
+from cauce.llm.base import documents, partitions, plain, unused, with_uid, written
 
 PREFIX = 256
 
@@ -28,14 +28,25 @@ def normalised(text: str | Column = "text") -> Column:
     return F.regexp_replace(F.coalesce(col.cast("string"), F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
+def _met(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """Inner join with groups whose row counts (``size``) are known. Fewer than ``n`` groups hold more than
+    an ``n``-th of the rows: those are broadcast, so that no task takes a large group whole."""
+    n = partitions(rows.sparkSession)
+    total = groups.agg(F.sum(size).alias("n")).first().n or 0
+    hot = F.col(size) > total / n
+    few = F.broadcast(groups.where(hot))
+    return rows.join(few, keys).unionByName(rows.join(few.select(*keys), keys, "left_anti").join(groups.where(~hot), keys))
+
+
 def refined(rows: DataFrame) -> DataFrame:
     """Decisions for ``rows`` (uid, doc_id, text, length, prefix): uid, doc_id, keep_id,
     group_size, kept."""
-    lengths = rows.groupBy("length").count().where("count > 1").select("length")
-    by_prefix = rows.select("length", "prefix").join(lengths, "length", "left_semi")
-    survivors = by_prefix.groupBy("length", "prefix").count().where("count > 1").select("length", "prefix")
+    # summed by length and prefix before anything moves, so a length that many rows share is a few counts
+    counts = written(rows.groupBy("length", "prefix").agg(F.count("*").alias("n")), "dedup-counts")
+    lengths = counts.groupBy("length").agg(F.sum("n").alias("of_length")).where("of_length > 1").select("length")
+    survivors = counts.join(lengths, "length", "left_semi").where("n > 1")
     survivors = written(survivors, "dedup-survivors")
-    hashed = rows.join(survivors, ["length", "prefix"], "left_semi").select(
+    hashed = _met(rows, survivors, ["length", "prefix"], "n").select(
         "uid", "doc_id", "length", F.sha2(normalised(), 256).alias("sha")
     )
     hashed = written(hashed, "dedup-hashes")
@@ -43,7 +54,8 @@ def refined(rows: DataFrame) -> DataFrame:
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("first"),
         F.count("*").alias("group_size"),
     ).where("group_size > 1")
-    equal = hashed.select("uid", "length", "sha").join(groups, ["length", "sha"]).select(
+    groups = written(groups, "dedup-groups")
+    equal = _met(hashed.select("uid", "length", "sha"), groups, ["length", "sha"], "group_size").select(
         "uid", F.col("first.doc_id").alias("keep"), F.col("first.uid").alias("keep_uid"), "group_size"
     )
     return rows.select("uid", "doc_id").join(equal, "uid", "left").select(
