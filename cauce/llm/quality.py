@@ -11,10 +11,17 @@ word whose share of a language reaches ``SHARE`` cannot stay below a tenth of th
 units that counted it and below it in all others, so each unit (a stretch of one task's rows)
 reports only words above that tenth, and the sums bound every word's share from above; the words
 that may reach ``SHARE`` (at most 1 / (0.9 SHARE) of a language) are then counted over all
-documents. Only these counts reach the driver, one reference for each language of ``LEAST_WORDS``
-words or more, however small its share. Documents of smaller languages (a mistyped or missing lang,
-say) are judged by that reference whose common words cover most of the text; if no language is that
-large, by one reference of all documents together.
+documents. Only these counts reach the driver, one reference for each language that holds ``SHARE_OF_ALL`` of all
+words, so at most 1 / ``SHARE_OF_ALL`` of them at any size of the corpus.
+
+A document is judged by its own language's reference, less the document itself. The allowance grows
+with the doubt about a small reference, which a few odd texts can spoil, and vanishes with its size.
+Where that reference could decide nothing (the only texts of a language; a mistyped, missing or very rare
+lang), the document counts as written in that language whose common words cover most of it: it is
+judged by words only if they cover at least ``WRITTEN_IN`` of what they cover of that language, and
+by classes only if both are of one script. So a clean text in a language that nothing else is written
+in has no word verdict by a foreign reference. Around ``2 * REFERENCE_WORDS`` words of a language the
+rule is lenient: junk of that language may stay there.
 
 Defined results: null text has no words and fails the base rule; a null lang is a language of its
 own; repeated rows are judged each; an empty table gives no row; other columns are ignored, or
@@ -33,7 +40,8 @@ from pyspark.sql import functions as F
 from cauce.llm.base import documents
 
 SHARE = 1 / 500
-LEAST_WORDS = 5000
+#: A language with a smaller share of all words has no reference of its own.
+SHARE_OF_ALL = 1 / 1000
 UNIT_WORDS = 2_000_000
 
 #: Character classes by byte; bytes that continue a character belong to none.
@@ -49,6 +57,10 @@ MAX_CHAR_DISTANCE, CHAR_NOISE = 0.20, 2.0
 MAX_WORD_DISTANCE, WORD_NOISE = 0.33, 0.5
 #: Below so many words a histogram is coarser still; labelled clean texts reach c = 0.60, junk begins at 1.0.
 SHORT_WORDS, SHORT_NOISE = 80, 0.8
+#: What a reference of n words may add, since a few odd texts can spoil a small one: (c / n) ** 2. At 1 it decides nothing.
+REFERENCE_WORDS = 4000
+#: Share of a reference's own cover by its common words from which a text counts as written in its language.
+WRITTEN_IN = 2 / 3
 
 
 def _class_matrix() -> np.ndarray:
@@ -171,14 +183,15 @@ def _survey(batches):
     yield _rows([(x, "class", None, k, int(n)) for x, c in classes.items() for k, n in enumerate(c)])
 
 
-def references(docs: DataFrame, least: int = 1) -> dict[str, tuple[np.ndarray, dict[bytes, int], np.ndarray]]:
-    """Per language of ``least`` words or more: class counts, common words and their places, counts
+def references(docs: DataFrame, share: float = 0.0) -> dict[str, tuple[np.ndarray, dict[bytes, int], np.ndarray]]:
+    """Per language that holds ``share`` of all words, and a word at least: class counts, common words and their places, counts
     of these and of all others."""
     keyed = _keyed(docs)
     found = keyed.mapInArrow(_survey, _COUNTS).groupBy("lang", "kind", "word", "cls").agg(F.sum("n").alias("n"))
     found = found.persist()
     totals = found.where("kind = 'total'").select("lang", F.col("n").alias("total"))
-    large = {r.lang: r.total for r in totals.where(F.col("total") >= least).collect()}
+    every = totals.agg(F.sum("total")).first()[0] or 0
+    large = {r.lang: r.total for r in totals.where(F.col("total") >= max(1, share * every)).collect()}
     if not large:
         found.unpersist()
         return {}
@@ -218,42 +231,56 @@ def references(docs: DataFrame, least: int = 1) -> dict[str, tuple[np.ndarray, d
 # -- verdicts ------------------------------------------------------------------------------
 
 
-def standing(docs: DataFrame) -> dict:
-    """References of all languages that are large enough for one, or else one of all documents."""
-    refs = references(docs, LEAST_WORDS)
-    return refs or references(docs.withColumn("lang", F.lit("all")))
+def _less(reference, classes: np.ndarray, words: np.ndarray):
+    """The reference's counts without those of one of its documents."""
+    return np.maximum(reference[0] - classes, 0), np.maximum(reference[2] - words, 0)
 
 
-def meant_for(refs: dict, lang: str) -> list:
-    """The references that may speak for a document of the language."""
-    return [refs[lang]] if lang in refs else list(refs.values())
+def _binned(own: Counter, common: dict[bytes, int]) -> np.ndarray:
+    counts = np.zeros(len(common) + 1, dtype=np.int64)
+    for w, n in own.items():
+        counts[common.get(w, len(common))] += n
+    return counts
 
 
-def judge(text: bytes, *references) -> tuple:
+def _doubt(reference, without: int = 0) -> float:
+    """What a reference may add to a distance, a text of so many words left out."""
+    return (REFERENCE_WORDS / max(1, int(reference[2].sum()) - without)) ** 2
+
+
+def _covering(own: Counter, others):
+    """The reference whose common words cover most of the text beyond doubt (the first of equals), or None."""
+    size = max(1, sum(own.values()))
+    cover = lambda ref: sum(own[w] for w in ref[1] if w in own) / size - _doubt(ref)
+    return max(others, key=cover, default=None)
+
+
+def judge(text: bytes, own=None, others=()) -> tuple:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept and both
-    distances (null where a guard holds the rule back), by the reference whose common words cover
-    the most of the text, and among equals the nearest."""
+    distances (null where a guard holds the rule back), by the reference of the text's own language,
+    which counts the text itself, or else by one of ``others``."""
     n_words, word_chars, symbols, dup_lines, repeats, classes = measures(text)
     base_failed = n_words < 50 or 100 * repeats > 50 * n_words
-    n_chars = classes.sum()
-    own = Counter(text.lower().split()) if n_words >= MIN_WORDS else {}
-    noise = WORD_NOISE if n_words >= SHORT_WORDS else SHORT_NOISE
-    found = []
-    for ref_classes, common, ref_words in filter(None, references):
-        by_class = by_word = None
-        far, covered = False, 0
-        if n_chars >= MIN_CHARS:
+    n_chars = int(classes.sum())
+    words = Counter(text.lower().split())
+    by_class = by_word = None
+    far = False
+    foreign = own is None or _doubt(own, n_words) >= 1 - MAX_WORD_DISTANCE
+    reference = _covering(words, others) if foreign else own
+    if reference is not None:
+        counts = _binned(words, reference[1])
+        ref_classes, ref_words = (reference[0], reference[2]) if foreign else _less(reference, classes, counts)
+        ref_chars, total = int(ref_classes.sum()), int(ref_words.sum())
+        doubt = _doubt(reference, 0 if foreign else n_words)
+        if n_chars >= MIN_CHARS and ref_chars:
             by_class = js_distance(classes, ref_classes)
-            far |= bool(by_class > MAX_CHAR_DISTANCE + CHAR_NOISE / n_chars**0.5)
-        if n_words >= MIN_WORDS:
-            counts = np.zeros(len(common) + 1, dtype=np.int64)
-            for w, n in own.items():
-                counts[common.get(w, len(common))] += n
-            covered = int(counts[:-1].sum())
+            one_script = not foreign or abs(classes[7] / n_chars - ref_classes[7] / ref_chars) < 0.5
+            far |= bool(one_script and by_class > MAX_CHAR_DISTANCE + CHAR_NOISE / n_chars**0.5 + doubt)
+        written = not foreign or counts[:-1].sum() * total >= WRITTEN_IN * ref_words[:-1].sum() * n_words
+        if n_words >= MIN_WORDS and total and written:
             by_word = js_distance(counts, ref_words)
-            far |= by_word > MAX_WORD_DISTANCE + noise / n_words**0.5
-        found.append((-covered, far, by_word, by_class))
-    _, far, by_word, by_class = min(found, default=(0, False, None, None))
+            noise = WORD_NOISE if n_words >= SHORT_WORDS else SHORT_NOISE
+            far |= by_word > MAX_WORD_DISTANCE + noise / n_words**0.5 + doubt
     kept = bool(not base_failed and not far)
     return n_words, word_chars, symbols, dup_lines, repeats, base_failed, kept, by_class, by_word
 
@@ -266,7 +293,8 @@ VERDICT = (
 
 def quality(docs: DataFrame) -> DataFrame:
     """Measures and verdict (``VERDICT``) of every document."""
-    refs = standing(docs)
+    refs = references(docs, SHARE_OF_ALL)
+    others = lambda lang: [ref for x, ref in refs.items() if x != lang]
     names = [x.split()[0] for x in VERDICT.split(", ")]
     types = [pa.int64()] * 6 + [pa.bool_()] * 2 + [pa.float64()] * 2
 
@@ -275,7 +303,7 @@ def quality(docs: DataFrame) -> DataFrame:
             texts, out = batch.column("text").cast(pa.binary()), []
             langs = batch.column("lang").to_pylist()
             for i, doc in enumerate(batch.column("doc_id").to_pylist()):
-                out.append((doc, *judge(texts[i].as_py(), *meant_for(refs, langs[i]))))
+                out.append((doc, *judge(texts[i].as_py(), refs.get(langs[i]), others(langs[i]))))
             columns = zip(*out, strict=True) if out else [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names)
 
@@ -289,7 +317,8 @@ def quality(docs: DataFrame) -> DataFrame:
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows whose text passes, with all their columns."""
-    refs = standing(docs)
+    refs = references(docs, SHARE_OF_ALL)
+    others = lambda lang: [ref for x, ref in refs.items() if x != lang]
 
     def run(batches):
         for batch in batches:
@@ -297,7 +326,7 @@ def kept_documents(docs: DataFrame) -> DataFrame:
             keep = []
             for i, lang in enumerate(langs):
                 key = "null" if lang is None else f"={lang}"
-                keep.append(judge(texts[i].as_py() or b"", *meant_for(refs, key))[6])
+                keep.append(judge(texts[i].as_py() or b"", refs.get(key), others(key))[6])
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -35,6 +35,23 @@ def test_quality_judges_documents_of_small_languages(spark):
     assert all(r.class_distance for r in quality.quality(alone).where("n_words >= 80").collect())
 
 
+def test_quality_leaves_clean_texts_of_rare_languages_alone(spark):
+    """German texts where nothing else, or next to nothing, is German, and a script that nothing else has."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{LABELLED}/documents.parquet").join(spark.read.parquet(f"{LABELLED}/labels.parquet"), "doc_id")
+    few = docs.where("lang = 'de' AND doc_id % 16 = 3").cache()
+    rest = docs.where("lang <> 'de'")
+    single = few.withColumn("lang", F.concat(F.lit("x"), F.col("doc_id")))
+    letters = "".join(chr(0x430 + k) for k in range(26))
+    script = few.withColumn("text", F.translate("text", "abcdefghijklmnopqrstuvwxyz", letters)).withColumn("lang", F.lit("ru"))
+    for rare in (few, few.limit(3), single, script.limit(1)):
+        rows = quality.quality(rest.unionByName(rare)).join(rare.select("doc_id", "quality"), "doc_id").where("NOT base_failed").collect()
+        clean = [r for r in rows if r.quality == 1]
+        assert sum(r.kept for r in clean) >= 0.98 * len(clean)
+    few.unpersist()
+
+
 def test_wrapped_license_notices(spark):
     """Each template, broken at every place and set among other lines."""
     rows, want = [], {}
