@@ -1,19 +1,23 @@
 """Personal data by a character-level bidirectional LSTM with CRF transitions, in numpy.
 
 Base rules (patterns with digit counts, ranges and the Luhn check) give the certain spans. The
-tagger is trained on a bounded sample of the corpus (``TRAIN_DOCUMENTS`` texts that hold a digit
-or an ``@``) whose spans the base rules label; other numbers and addresses of these texts are its
-negatives. It reads windows around every place that could be personal data: all four kinds hold a
-digit or an ``@``, so stretches without either cannot carry a span, and every stretch with one is
-covered. Long stretches are cut into overlapping windows, decoded by Viterbi, and reconciled over
+tagger is trained to find what they miss: ``planted`` sets personal data in forms of its own (``ann (at)
+mail.example.org``, ``10-0-0-255``, ``4111.1111.1111.1111``, ``0049/30/1234567``), and look-alikes
+such as dates, times, amounts and item numbers, into stretches of a bounded sample of the corpus
+(``TRAIN_DOCUMENTS`` texts of less than ``TRAIN_CHARS`` characters that hold a digit, an ``@`` or a
+bracketed "at"). The planted spans and the base spans are its labels. Places of the corpus that could be such forms,
+but that nothing labels, are left out; all else are negatives. It
+reads windows around every such place; stretches without one carry no span, and every stretch with
+one is covered. Long stretches are cut into overlapping windows, decoded by Viterbi, and reconciled over
 the whole text: each character takes its tag from the window in which it lies furthest from an
 edge, runs of one kind become spans, and spans that touch a base span give way to it.
 
-Added spans must pass the checks of their kind (an ``@`` inside; four numbers up to 255; 13 to 19
-digits and Luhn; 9 to 15 digits) and have a mean tag probability of at least ``MIN_SCORE``.
+Added spans must pass the checks of their kind (an address with its mark and a dot in it; four numbers up
+to 255; 13 to 19 digits and Luhn; 9 to 15 digits; letters only in addresses) and have a mean tag
+probability of at least ``MIN_SCORE``; one that fails its own but passes those of a card or ip is of that kind.
 
 Defined results: null text counts as empty and has no spans; repeated rows are scanned each; an
-empty table gives no row and trains nothing; without any base span in the corpus only the base
+empty table gives no row and trains nothing; where no text holds a place only the base
 rules apply; other columns are ignored, or travel with ``redacted``, whatever their names.
 """
 
@@ -39,6 +43,9 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT_OR_AT = re.compile(r"[0-9@]")
+#: Where the tagger looks: also at ``(at)`` and the like. The same pattern serves Spark.
+PLACES = r"[0-9@]|[\[({] ?[aA][tT] ?[\])}]"
+PLACE = re.compile(PLACES)
 
 
 def luhn(digits: str) -> bool:
@@ -104,10 +111,10 @@ def codes(text: str) -> np.ndarray:
 
 
 def windows(text: str) -> list[int]:
-    """Starts of the windows: every stretch around a digit or ``@``, cut with overlap."""
-    starts, end = [], -1
+    """Starts of the windows: every stretch around a place, cut with overlap."""
+    starts: list[int] = []
     lo = hi = -1
-    for m in DIGIT_OR_AT.finditer(text):
+    for m in PLACE.finditer(text):
         if hi >= 0 and m.start() - MARGIN <= hi:
             hi = m.start() + MARGIN
             continue
@@ -116,7 +123,7 @@ def windows(text: str) -> list[int]:
         lo, hi = max(0, m.start() - MARGIN), m.start() + MARGIN
     if hi >= 0:
         starts += _cut(lo, hi)
-    return starts if end else []
+    return starts
 
 
 def _cut(lo: int, hi: int) -> list[int]:
@@ -130,9 +137,11 @@ def _cut(lo: int, hi: int) -> list[int]:
 
 HIDDEN, EMBED = 16, 12
 TAGS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
-STEPS, RATE, BATCH = 420, 0.02, 32
+STEPS, RATE, BATCH = 900, 0.02, 32
 TRAIN_DOCUMENTS = 600
+TRAIN_CHARS = 20_000
 TRAIN_WINDOWS = 900
+PLANTED = 3000
 MIN_SCORE = 0.9
 
 
@@ -275,11 +284,22 @@ def window_codes(text: str, starts: list[int]) -> np.ndarray:
     return all_codes[np.array(starts)[:, None] + np.arange(WINDOW)]
 
 
+#: What could be personal data in a form of its own: nine digits, four numbers, a mark of an address.
+MAYBE = re.compile(r"[0-9](?:[^A-Za-z0-9]{0,3}[0-9]){8,}|[0-9]{1,3}(?:[^A-Za-z0-9]{1,3}[0-9]{1,3}){3}|@|[\[({] ?[aA][tT] ?[\])}]")
+
+
+def unlabelled(text: str) -> list[tuple[int, int]]:
+    """Places that could be personal data but lie in no base span: no examples of either sort."""
+    known = sorted(x for spans in base_spans(text).values() for x in spans)
+    return [m.span() for m in MAYBE.finditer(text) if not any(a <= m.start() and m.end() <= b for a, b in known)]
+
+
 def training_set(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Windows and their tags as the base rules label them."""
+    """Windows and their tags as the base rules label them, without those that hold unlabelled places."""
     xs, ys = [], []
     for text in texts:
-        starts = windows(text)
+        unsure = unlabelled(text)
+        starts = [x for x in windows(text) if not any(a < x + WINDOW and b > x for a, b in unsure)]
         if not starts:
             continue
         tags = np.zeros(len(text) + WINDOW, dtype=np.int64)
@@ -294,20 +314,138 @@ def training_set(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(xs)[:TRAIN_WINDOWS], np.concatenate(ys)[:TRAIN_WINDOWS]
 
 
+# -- labels beyond the base rules ------------------------------------------------------------
+
+_HOSTS = ("mail", "example", "post", "uni", "corp", "web", "home", "data")
+_ENDS = ("com", "org", "net", "de", "fr", "es", "io", "co.uk")
+_NAMES = ("ann", "bo", "carla", "d", "erik", "info", "jean", "kontakt", "lopez", "maria", "office", "q")
+
+
+def _digits(rng, n: int) -> str:
+    return "".join(map(str, rng.integers(0, 10, n)))
+
+
+def card_number(rng, n: int = 16) -> str:
+    """Random digits with a check digit that passes Luhn."""
+    head = str(rng.integers(1, 10)) + _digits(rng, n - 2)
+    return next(head + str(d) for d in range(10) if luhn(head + str(d)))
+
+
+def odd_email(rng) -> str:
+    mark = rng.choice([" (at) ", "(at)", " [at] ", "[at]", " {at} ", " @ ", " (AT) ", "( at )"])
+    dot = rng.choice([".", ".", " . ", " dot ", " [dot] ", "(dot)"])
+    name = rng.choice(_NAMES) + rng.choice(["", ".", "_", "-"]) + rng.choice(_NAMES) + rng.choice(["", _digits(rng, 2)])
+    host = rng.choice(_HOSTS) + rng.choice(["", _digits(rng, 1)])
+    return name + mark + host + rng.choice(["", dot + rng.choice(_HOSTS)]) + dot + rng.choice(_ENDS)
+
+
+def odd_ip(rng) -> str:
+    return rng.choice(["-", "_", " . ", ". ", "[.]", ", ", ":"]).join(str(x) for x in rng.integers(0, 256, 4))
+
+
+def odd_card(rng) -> str:
+    number = card_number(rng, int(rng.choice([16, 16, 16, 15, 14, 19])))
+    cuts = (0, 4, 10, 15) if len(number) == 15 else (*range(0, len(number), 4), len(number))
+    parts = [number[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+    return rng.choice([".", "/", "_", "  ", " - ", ". ", ":"]).join(parts)
+
+
+def odd_phone(rng) -> str:
+    sep = rng.choice([" ", "-", "/", ".", " / "])
+    parts = [_digits(rng, n) for n in [(3, 3, 4), (3, 7), (2, 3, 2, 2), (4, 6)][rng.integers(0, 4)]]
+    head = rng.choice(["00" + str(rng.integers(1, 100)) + sep, "(0" + _digits(rng, 2) + ") ", "+" + str(rng.integers(1, 100)) + "/"])
+    return head + sep.join(parts)
+
+
+def look_alike(rng) -> str:
+    """Numbers and addresses that are nobody's: dates, times, amounts, item numbers, versions, places."""
+    year, month, day = rng.integers(1950, 2030), rng.integers(1, 13), rng.integers(1, 29)
+    some = lambda n: _digits(rng, n)
+    return str(
+        rng.choice(
+            [
+                f"{year}-{month:02}-{day:02} {rng.integers(0, 24):02}:{rng.integers(0, 60):02}:{some(2)}",
+                f"{day}.{month}.{year}", f"{day}/{month}/{year}", f"{year}{month:02}{day:02}{some(6)}",
+                f"{rng.integers(1, 999)},{some(3)},{some(3)}.{some(2)}", f"{some(3)} {some(3)} {some(3)} EUR",
+                f"978-{some(1)}-{some(2)}-{some(6)}-{some(1)}", f"id={some(12)}", f"#{some(9)}", f"no. {some(4)}-{some(4)}-{some(4)}",
+                f"v{rng.integers(0, 20)}.{rng.integers(0, 20)}.{rng.integers(0, 20)}", f"{some(4)}-{some(4)}", f"0.{some(12)}",
+                f"{rng.integers(1, 99)}, {rng.integers(1, 99)}, {rng.integers(1, 99)} and {rng.integers(1, 99)}",
+                f"{some(2)}:{some(2)}:{some(2)}.{some(3)}", f"see (at) page {some(2)}", f"pay @ {some(2)}.{some(2)} each",
+            ]
+        )
+    )
+
+
+ODD = (odd_email, odd_ip, odd_card, odd_phone)
+
+
+def planted(text: str, rng) -> tuple[str, list[tuple[int, int, int]]]:
+    """A stretch of the text with one odd form, look-alike or pair of them, and its spans (kind index, start, end)."""
+    at = int(rng.integers(0, len(text) + 1))
+    while at < len(text) and not text[at].isspace():
+        at += 1
+    left, right = text[max(0, at - 40) : at], text[at : at + 40]
+    left, right = ("" if unlabelled(x) else x for x in (left, right))
+    kind = int(rng.integers(0, len(KINDS) + 2))
+    form = ODD[kind](rng) if kind < len(KINDS) else look_alike(rng)
+    lead = left + " "
+    # punctuation that follows a form is not part of it
+    out = lead + form + rng.choice(["", "", ",", ".", ";", ")"]) + " " + right.lstrip()
+    spans = [(kind, len(lead), len(lead) + len(form))] if kind < len(KINDS) else []
+    for k, name in enumerate(KINDS):
+        for a, b in base_spans(out)[name]:
+            if kind >= len(KINDS) or b <= spans[0][1] or a >= spans[0][2]:
+                spans.append((k, a, b))
+    return out, spans
+
+
+def planted_set(texts: list[str], count: int = PLANTED, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+    """Windows around planted forms and their tags."""
+    rng = np.random.default_rng(seed)
+    xs, ys = [], []
+    for k in range(count):
+        text, spans = planted(texts[k % len(texts)], rng)
+        tags = np.zeros(len(text) + WINDOW, dtype=np.int64)
+        for kind, a, b in spans:
+            tags[a:b] = 2 + 2 * kind
+            tags[a] = 1 + 2 * kind
+        starts = windows(text)[:1]
+        if starts:
+            xs.append(window_codes(text, starts))
+            ys.append(tags[np.array(starts)[:, None] + np.arange(WINDOW)])
+    if not xs:
+        return np.zeros((0, WINDOW), np.int64), np.zeros((0, WINDOW), np.int64)
+    return np.concatenate(xs), np.concatenate(ys)
+
+
+def taught(texts: list[str]) -> Tagger | None:
+    """A tagger for the texts of a sample: their windows under the base rules, and planted forms."""
+    if not texts:
+        return None
+    parts = [training_set(texts), planted_set(texts)]
+    x, y = (np.concatenate(p) for p in zip(*parts, strict=True))
+    if not (y > 0).any():
+        return None
+    tagger = Tagger()
+    tagger.train(x, y)
+    return tagger
+
+
 def fitted(docs: DataFrame) -> Tagger | None:
     """A tagger trained on at most ``TRAIN_DOCUMENTS`` rows, chosen by a hash of their text."""
-    rows = plain(docs).where(F.col("text").rlike("[0-9@]") & (F.length("text") < 20_000))
+    rows = plain(docs).where(F.col("text").rlike(PLACES) & (F.length("text") < TRAIN_CHARS))
     keyed = rows.select(F.xxhash64("text").alias("h"), "text")
     last = keyed.select("h").distinct().orderBy("h").limit(TRAIN_DOCUMENTS).agg(F.max("h")).first()[0]
     if last is None:
         return None
     picked = keyed.where(F.col("h") <= last).groupBy("h").agg(F.min("text").alias("text")).orderBy("h")
-    x, y = training_set([r.text for r in picked.collect()])
-    if not (y > 0).any():
-        return None
-    tagger = Tagger()
-    tagger.train(x, y)
-    return tagger
+    return taught([r.text for r in picked.collect()])
+
+
+ADDRESS = re.compile(
+    r"[A-Za-z0-9._%+-]+ ?(?:@|[\[({] ?[aA][tT] ?[\])}]) ?[A-Za-z0-9-]+(?:(?:\.| \. | dot | ?[\[(]dot[\])] ?)[A-Za-z0-9-]+)+"
+)
+LETTER = re.compile(r"[^\W\d_]")
 
 
 def added_spans(text: str, tagger: Tagger, starts: list[int], tags: np.ndarray, chance: np.ndarray):
@@ -338,13 +476,15 @@ def added_spans(text: str, tagger: Tagger, starts: list[int], tags: np.ndarray,
         digits = "".join(c for c in part if "0" <= c <= "9")
         numbers = [int(x) for x in re.findall("[0-9]{1,9}", part)]
         right = (
-            "@" in part[1:-1],
+            ADDRESS.fullmatch(part) is not None,
             len(numbers) == 4 and max(numbers) < 256,
             13 <= len(digits) <= 19 and luhn(digits),
             9 <= len(digits) <= 15,
-        )[int(kind)]
-        if right and score[a:b].mean() >= MIN_SCORE:
-            out.append((int(kind), a, b))
+        )
+        # the checks of ip and card are strict enough to name the kind of a span that was found as another
+        kind = next((k for k in (int(kind), 2, 1) if right[k] and (k == 0 or not LETTER.search(part))), None)
+        if kind is not None and score[a:b].mean() >= MIN_SCORE:
+            out.append((kind, a, b))
     return out
 
 
