@@ -6,6 +6,7 @@ whole-stage codegen. Strings may be given for column names.
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 
 import pandas as pd
@@ -77,19 +78,20 @@ def to_text(col: ColumnOrName) -> Column:
 
 
 # --- X8 ------------------------------------------------------------------------------
-def _fold_tables(first: int = 0x00A0, last: int = 0x024F) -> tuple[str, str, list[tuple[str, str]]]:
-    """Build the accent-fold mapping from ``unicodedata`` for a code-point range.
+_LAST = 0x30000  # no character beyond has a fold or a case
+def _fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
+    """Build the accent-fold mapping from ``unicodedata`` for every character that has one.
 
     For each character the NFKD form without combining marks is computed. One-character
-    results go into a ``translate`` pair, empty results are deleted, longer results
-    (``¼`` -> ``1⁄4``) become ``replace`` calls. Combining marks themselves are deleted.
+    results go into a ``translate`` pair, empty results (the marks) are deleted, longer results of
+    Latin text (``¼`` -> ``1⁄4``, ``ﬁ`` -> ``fi``) become ``replace`` calls.
     """
     src, dst, multi, dropped = [], [], [], []
-    for cp in range(first, last + 1):
+    for cp in range(0x80, _LAST):
+        if 0xD800 <= cp < 0xE000 or 0xAC00 <= cp < 0xD7A4:  # surrogates; Hangul syllables fold to several
+            continue
         ch = chr(cp)
-        folded = "".join(
-            c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c)
-        )
+        folded = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
         if folded == ch:
             continue
         if len(folded) == 1:
@@ -97,43 +99,52 @@ def _fold_tables(first: int = 0x00A0, last: int = 0x024F) -> tuple[str, str, lis
             dst.append(folded)
         elif not folded:
             dropped.append(ch)
-        else:
+        elif cp < 0x250 or 0x1E00 <= cp < 0x1F00 or 0xFB00 <= cp < 0xFB07:
             multi.append((ch, folded))
-    dropped.extend(chr(cp) for cp in range(0x0300, 0x0370))
     # translate(): characters of `from` beyond the length of `to` are deleted
     return "".join(src) + "".join(dropped), "".join(dst), multi
 
 
 _FOLD_FROM, _FOLD_TO, _FOLD_MULTI = _fold_tables()
+_ANY_MULTI = "[" + "".join(ch for ch, _ in _FOLD_MULTI) + "]"
+_NOT_ASCII = r"[^\x00-\x7F]"
 
 
 def fold_accents(col: ColumnOrName) -> Column:
-    """NFKD + drop combining marks, for Latin-1 and Latin Extended-A/B text."""
+    """NFKD + drop combining marks. ASCII values are returned as they are; only values that hold a
+    character with a longer form pay for the replacements. Hangul and the longer forms outside Latin
+    text (squared words, say) are left as they are."""
     c = _c(col)
+    longer = c
     for ch, rep in _FOLD_MULTI:
-        c = F.replace(c, F.lit(ch), F.lit(rep))
-    return F.translate(c, _FOLD_FROM, _FOLD_TO)
+        longer = F.replace(longer, F.lit(ch), F.lit(rep))
+    folded = F.translate(F.when(c.rlike(_ANY_MULTI), longer).otherwise(c), _FOLD_FROM, _FOLD_TO)
+    return F.when(c.rlike(_NOT_ASCII), folded).otherwise(c)
 
 
 def fold_upper(col: ColumnOrName, exact: bool = False) -> Column:
     """Join key for names: accent fold, trim, upper case; null becomes ``""``.
 
     ``upper`` follows full case mapping (``ß`` -> ``SS``), like Python's ``str.upper``.
-    The default runs inside the JVM and folds Latin scripts (U+0000-U+024F plus combining
-    marks), upper-casing letters exactly as Python's ``str.upper`` does in that range. ``exact=True`` applies full Unicode NFKD through a vectorised pandas UDF, for
-    keys in other scripts; it is the slow path (Arrow batches to Python workers).
+    The default runs inside the JVM and folds every character whose fold is one character or none, and
+    Latin text wholly. ``exact=True`` applies full Unicode NFKD through a vectorised pandas UDF, for
+    Hangul and rare compatibility forms; it is the slow path (Arrow batches to Python workers).
     """
     if exact:
         return _fold_upper_udf(_c(col))
-    parked = F.translate(trim_ws(fold_accents(col)), _NO_UPPER, _PARKED)
-    return F.coalesce(F.translate(F.upper(parked), _PARKED, _NO_UPPER), F.lit(""))
+    folded = trim_ws(fold_accents(col))
+    parked = F.translate(folded, _NO_UPPER, _PARKED)
+    raised = F.when(folded.rlike(_NOT_ASCII), F.translate(F.upper(parked), _PARKED, _NO_UPPER)).otherwise(F.upper(folded))
+    return F.coalesce(raised, F.lit(""))
 
 
-# Lowercase letters of the folded range that Python's str.upper leaves unchanged, generated
-# from Python's Unicode data. The JVM's newer data upper-cases a few of them (U+019B), so
-# they are parked on private-use code points while upper() runs.
+# Characters that the fold leaves and Python's str.upper doesn't change, though they are lowercase
+# letters, generated from Python's Unicode data. The JVM's newer data upper-cases a few of them
+# (U+019B), so they are parked on private-use code points while upper() runs.
 _NO_UPPER = "".join(
-    chr(cp) for cp in range(0x20, 0x250) if unicodedata.category(chr(cp)) == "Ll" and chr(cp).upper() == chr(cp)
+    chr(cp)
+    for cp in range(0x20, _LAST)
+    if unicodedata.category(chr(cp)) == "Ll" and chr(cp).upper() == chr(cp) and unicodedata.normalize("NFKD", chr(cp)) == chr(cp)
 )
 _PARKED = "".join(chr(0xE000 + i) for i in range(len(_NO_UPPER)))
 
@@ -145,8 +156,6 @@ def _fold_upper_series(s):
     """pandas side of ``fold_upper(exact=True)``: NFKD, drop combining marks, strip, upper."""
     global _COMBINING
     if _COMBINING is None:
-        import sys
-
         _COMBINING = {cp: None for cp in range(sys.maxunicode + 1) if unicodedata.combining(chr(cp))}
     folded = s.str.normalize("NFKD").str.translate(_COMBINING).str.strip().str.upper()
     return folded.fillna("")
@@ -175,8 +184,6 @@ def null_markers(col: ColumnOrName, words: tuple[str, ...] = NA_WORDS) -> Column
 def _ship_by_value() -> None:
     """Functions of this module run inside Python workers (mapInPandas / pandas UDF).
     Serialise them by value so executors need numpy/pandas only, not this package."""
-    import sys
-
     from pyspark import cloudpickle
 
     cloudpickle.register_pickle_by_value(sys.modules[__name__])

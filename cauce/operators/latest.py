@@ -61,26 +61,33 @@ def head(df: DataFrame, n: int, order: str | Column = "_ord") -> DataFrame:
 
 
 def with_row_number(df: DataFrame, order: Sequence[str | Column], name: str = "rank") -> DataFrame:
-    """Global 1-based row numbers in ``order`` without a single-partition window.
+    """Global 1-based row numbers in ``order``, which must be a total order (end it with a unique key)."""
+    return number_rows(df.orderBy(*[_as_col(o) for o in order]), name)
+
+
+def number_rows(sorted_df: DataFrame, name: str = "rank") -> DataFrame:
+    """1-based numbers of the rows of a sorted table without a single-partition window.
 
     The sort range-partitions the rows; each row gets (partition id, position inside its
     partition); per-partition row counts (one row per partition) give each partition's
-    offset. The sorted rows are persisted so both uses see the same partitioning.
-    ``order`` must be a total order (end it with a unique key) for a deterministic result.
+    offset. The sorted rows are written to the checkpoint folder, so both uses see the same
+    partitions, also after an executor is lost.
     """
-    from cauce.session import persist_for_job
-
-    sorted_df = (
-        df.orderBy(*[_as_col(o) for o in order])
-        .withColumn("__pid", F.spark_partition_id())
-        .withColumn("__mid", F.monotonically_increasing_id())
-    )
-    sorted_df = persist_for_job(sorted_df)
-    counts = sorted_df.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
-    offsets = counts.withColumn(
-        "__off", F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n")
-    )
+    from cauce.session import checkpoint_root
+
+    checkpoint_root(sorted_df.sparkSession)
+    pid, mid, count, first, offset = _unused(sorted_df.columns, 5)
+    placed = sorted_df.withColumn(pid, F.spark_partition_id()).withColumn(mid, F.monotonically_increasing_id())
+    placed = placed.checkpoint()
+    counts = placed.groupBy(pid).agg(F.count(F.lit(1)).alias(count), F.min(mid).alias(first))
+    offsets = counts.select(pid, first, (F.sum(count).over(Window.orderBy(pid)) - F.col(count)).alias(offset))
     # one row per partition: bounded by the partition count
-    out = sorted_df.join(F.broadcast(offsets.select("__pid", "__off", "__first")), "__pid")
-    rank = (F.col("__off") + F.col("__mid") - F.col("__first") + 1).alias(name)
-    return out.select(*[F.col(f"`{c}`") for c in df.columns], rank)
+    out = placed.join(F.broadcast(offsets), pid)
+    rank = (F.col(offset) + F.col(mid) - F.col(first) + 1).alias(name)
+    return out.select(*[F.col(f"`{c}`") for c in sorted_df.columns], rank)
+
+
+def _unused(columns: Sequence[str], n: int) -> list[str]:
+    """Names that no column has."""
+    taken = {c.casefold() for c in columns}
+    return [x for x in (f"place_{k}" for k in range(len(taken) + n)) if x not in taken][:n]

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cauce.operators.reshape import long_to_wide
 from cauce.operators.columns import numeric_columns, q
 from cauce.operators.joins import broadcast_if_small
 from cauce.session import persist_for_job
@@ -388,7 +389,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None, digits:
     """The same as a square matrix: one row per column, one column per column."""
     cols = list(cols or numeric_columns(df))
     long = correlation_long(df, cols, digits)
-    wide = long.groupBy("column_a").pivot("column_b", cols).agg(F.first("corr"))
+    wide = long_to_wide(long, "column_a", "column_b", "corr", cols)
     return wide.withColumnRenamed("column_a", "column")
 
 

@@ -187,7 +187,7 @@ FROM (SELECT o_orderkey, {_NULLED_DATE} AS d FROM orders) t
 )
 def o1_sort(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", _nulled_date().alias("d"))
-    ranked = latest.with_row_number(o, [F.col("d").asc_nulls_last(), F.col("o_orderkey").asc()])
+    ranked = latest.number_rows(latest.stable_sort(o, ["d"], tie="o_orderkey"))
     return ranked.select("o_orderkey", date_text("d").alias("o_orderdate"), "rank")
 
 

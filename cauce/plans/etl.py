@@ -19,7 +19,7 @@ from cauce.operators.aggs import first_non_null
 from cauce.operators.columns import first_in_order, q, require_columns, resolve_column
 from cauce.operators.joins import DEFAULT_BROADCAST_BYTES, left_join, lookup_join
 from cauce.operators.latest import latest_per_key
-from cauce.operators.reshape import flag_columns, flag_names, pivot_values, unpivot_years
+from cauce.operators.reshape import distinct_keys, flag_columns, flag_names, pivot_values, unpivot_years
 from cauce.sources.delimited import ORD, read_delimited, read_with_preamble
 from cauce.sources.layout import SOURCES, Layout
 from cauce.sources.sinks import write_csv, write_parquet
@@ -151,7 +151,7 @@ def clean_sessions(
         fnames = flag_names(values, ["sessionID", *names], flag_prefix)
         flags = flag_columns("funnel_Q", values, fnames)
     return prepared.groupBy("sessionID").agg(*attrs, *flags) if (attrs or flags) else (
-        prepared.select("sessionID").distinct()
+        distinct_keys(prepared, "sessionID")
     )
 
 

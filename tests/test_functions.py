@@ -90,3 +90,29 @@ def test_income_indicator_filter(spark):
     assert etl.clean_income(raw).count() == 2
     kept = etl.clean_income(raw, indicator="Renta neta media por persona").collect()
     assert [r["renta_media"] for r in kept] == [10.0]
+
+
+def test_fold_upper_over_all_characters(spark):
+    """Every character whose fold is one character or none, against Python."""
+    import sys
+    import unicodedata
+
+    def fold(text):
+        return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+
+    chars = [chr(c) for c in range(0x20, sys.maxunicode) if unicodedata.category(chr(c)) not in ("Cn", "Cs", "Co")]
+    values = [f"x{c}y" for c in chars if len(fold(c)) < 2]
+    want = [fold(v).strip().upper() for v in values]
+    got = _eval(spark, values, X.fold_upper)
+    assert [v for v, a, b in zip(values, got, want) if a != b] == []
+    assert _eval(spark, ["ế ώ ﬁ", "Tiếng Việt", "Ελλάδα", "plain"], X.fold_upper) == ["E Ω FI", "TIENG VIET", "ΕΛΛΑΔΑ", "PLAIN"]
+
+
+def test_row_numbers_keep_clashing_columns(spark):
+    from cauce.operators.latest import number_rows, stable_sort
+
+    df = spark.range(0, 500, 1, 7).selectExpr("id AS _ord", "if(id % 3 = 0, null, id % 5) AS place_0", "id AS `a.b`", "1 AS PLACE_2")
+    rows = number_rows(stable_sort(df, ["place_0"]), "n").orderBy("n").collect()
+    want = sorted(((r % 5 if r % 3 else 9), r) for r in range(500))
+    assert [r["_ord"] for r in rows] == [r for _, r in want] and [r["n"] for r in rows] == list(range(1, 501))
+    assert number_rows(df.limit(0).orderBy("_ord")).count() == 0
