@@ -49,6 +49,23 @@ def s1_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     return _customer_typed(S.read_delimited(spark, path, sep=";", encoding="latin1"))
 
 
+@register("S1_mixed_headers", _CUSTOMER_SQL + " UNION ALL SELECT c_custkey, NULL, c_nationkey, c_acctbal, c_mktsegment, NULL FROM customer")
+def s1_mixed_headers(spark, sf):
+    """All customers twice: files with a repeated name and one with blanks, and files with other columns
+    in another order."""
+    c = _customer_es(spark, sf)
+    path = scratch_dir(spark, "s1m")
+    order = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "c_segment_es"]
+    one = ["c_custkey", "segment", " segment", "c_name", "c_acctbal", "c_nationkey "]
+    first = c.select("c_custkey", "c_mktsegment", "c_segment_es", "c_name", "c_acctbal", "c_nationkey")
+    write_with_preamble(first.toDF(*one), f"{path}/a", [], sep=";")
+    second = c.select("c_nationkey", "c_acctbal", "c_mktsegment", "c_custkey")
+    write_with_preamble(second.toDF("c_nationkey", " c_acctbal", "segment", "C_CUSTKEY"), f"{path}/b", [], sep=";")
+    df = S.read_delimited(spark, [f"{path}/a", f"{path}/b"], sep=";")
+    df = df.toDF("c_custkey", "c_mktsegment", "c_segment_es", "c_name", "c_acctbal", "c_nationkey", S.ORD)
+    return _customer_typed(df.select(*order))
+
+
 # orders in key order, rendered with a preamble in every part file
 _ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 _HEADER = ";".join(["Municipio"] + _ORDER_COLS[1:])

@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from cauce.functions.text import NA_WORDS, null_markers
+from cauce.operators.joins import broadcast_if_small, left_join
+from cauce.session import checkpoint_root
 
 ORD = "_ord"
 _ENCODING_ALIASES = {"latin1": "ISO-8859-1", "latin-1": "ISO-8859-1", "iso8859-1": "ISO-8859-1"}
@@ -80,6 +82,26 @@ def split_header(line: str, sep: str) -> list[str]:
     return [f.strip("\r") for f in fields]
 
 
+def united_columns(headers: Sequence[str], sep: str) -> tuple[list[str], list[list[int]]]:
+    """The columns of several header lines, in order of appearance, and for each line the place of
+    every column in it (-1: absent). Names are compared without case, outer blanks and a byte order
+    mark, the k-th of equal names with the k-th; a column is shown as the first line that has it writes it."""
+    shown: list[str] = []
+    known: dict[str, int] = {}
+    found: list[dict[int, int]] = []
+    for line in headers:
+        fields = split_header(line, sep)
+        keys = dedupe_names([f.strip("\ufeff").strip() for f in fields])
+        at = {}
+        for i, (key, name) in enumerate(zip(keys, dedupe_names(fields))):
+            if key.casefold() not in known:
+                known[key.casefold()] = len(shown)
+                shown.append(name)
+            at[known[key.casefold()]] = i
+        found.append(at)
+    return dedupe_names(shown), [[at.get(j, -1) for j in range(len(shown))] for at in found]
+
+
 def _string_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
@@ -167,13 +189,17 @@ def read_delimited(
     na_words: bool = True,
     multiline: bool = False,
     check_headers: bool = False,
+    by_name: bool | None = None,
 ) -> DataFrame:
     """Delimited text, all columns ``string``, header names de-duplicated. Every file
-    starts with the same header line (Spark drops it from each file); the names are read
-    from one line of one split. A file with other names or another order makes the scan
-    fail, unless names had to be changed (repeated, empty, with outer blanks); for those
-    ``check_headers`` verifies every file's first line (one extra pass over the files:
-    Spark cannot prune a scan to first splits).
+    starts with a header line (Spark drops it from each file); the names are read
+    from one line of one split, and the scan itself fails on a file with other names or another order.
+
+    It can't where names had to be changed (repeated, empty, with outer blanks). Then every file's
+    header is read first (one extra pass over the files: Spark cannot prune a scan to first
+    splits), and if they differ each file is read by its own names (``parse_lines`` with ``by_name``).
+    ``by_name=True`` does so for all names, ``False`` for none (files are taken to start alike);
+    ``check_headers`` raises if headers differ.
 
     ``na_words`` turns the reader's usual missing-value words into null (X15).
     ``multiline`` allows quoted line breaks but makes each file one split.
@@ -202,11 +228,17 @@ def read_delimited(
         names = dedupe_names(found)
         # names taken as they stand: the scan itself fails on a file with other ones
         as_read = names == found and all(n == n.strip().strip("\ufeff") for n in names)
-        if check_headers:
-            tops = header_table(read_lines(spark, path, encoding), None, sep).select("file", "header").collect()
+        if by_name is None:
+            by_name = not as_read
+        if check_headers or by_name:
+            lines = read_lines(spark, path, encoding)
+            tops = _distinct_headers(header_table(lines, None, sep))
             differing = [r["file"] for r in tops if dedupe_names(split_header(r["header"], sep)) != names]
+            if differing and check_headers:
+                raise ValueError(f"file(s) start with another header, e.g. {differing[0]}")
             if differing:
-                raise ValueError(f"{len(differing)} file(s) start with another header, e.g. {differing[0]}")
+                df = parse_lines(lines, None, sep, na_words=na_words, quoted_breaks=multiline, by_name=True)
+                return df if with_order else df.drop(ORD)
         df = reader.option("header", "true").option("enforceSchema", str(not as_read).lower()).schema(
             _string_schema(names)
         ).csv(path)
@@ -264,6 +296,16 @@ def _file_window():
     return Window.partitionBy("file").orderBy(ORD)
 
 
+def _distinct_headers(headers: DataFrame, max_headers: int = 10_000) -> list:
+    """The different header lines of a header table, by first file (``header``, ``file``): one partial
+    aggregate. They decide the schema, so more than ``max_headers`` of them are an error."""
+    first = headers.groupBy("header").agg(F.min_by("file", "header_ord").alias("file"), F.min("header_ord").alias("at"))
+    rows = first.orderBy("at").limit(max_headers + 1).collect()
+    if len(rows) > max_headers:
+        raise ValueError(f"more than {max_headers} different header lines")
+    return rows
+
+
 def parse_lines(
     lines: DataFrame,
     token: str | None = "Municipio",
@@ -272,46 +314,67 @@ def parse_lines(
     na_words: bool = True,
     max_files: int = 100_000,
     quoted_breaks: bool = False,
+    by_name: bool = False,
 ) -> DataFrame:
     """Turn a line scan into a table: per file, lines above and including the header are
     dropped, the rest parsed with ``from_csv`` (quotes doubled as in the writer); short
     rows give nulls, extra fields are dropped, blank lines are none. ``quoted_breaks``: line breaks between
-    quotes belong to the value (``join_quoted_lines``). All files must share the first file's
-    header. The header table has one row per file; its row count is checked before it is
-    broadcast, and only the header lines (one per file) reach the driver."""
+    quotes belong to the value (``join_quoted_lines``).
+
+    All files must have the first file's columns in its order, unless ``by_name``: then each file is read by
+    its own header, columns of one name are one (``united_columns``), and those that a file lacks are null.
+
+    The header table has one row per file. Up to ``max_files`` rows it is collected and broadcast; a larger one is
+    checkpointed, only the different header lines reach the driver, and the join is planned by its measured size.
+    """
+    spark = lines.sparkSession
     headers = header_table(lines, token, sep, max_scan)
     info = headers.orderBy("header_ord").limit(max_files + 1).collect()
     if not info:
-        return lines.sparkSession.createDataFrame([], "`_empty` string")
-    if len(info) > max_files:
-        raise ValueError(f"more than {max_files} input files; split the load")
-    names = dedupe_names(split_header(info[0]["header"], sep))
-    differing = [r["file"] for r in info if dedupe_names(split_header(r["header"], sep)) != names]
-    if differing:
+        return spark.createDataFrame([], "`_empty` string")
+    many = len(info) > max_files
+    if many:
+        checkpoint_root(spark)
+        headers = headers.checkpoint()
+        info = _distinct_headers(headers)
+    columns = {r["header"]: dedupe_names(split_header(r["header"], sep)) for r in info}
+    names = columns[info[0]["header"]]
+    differing = [r["file"] for r in info if columns[r["header"]] != names]
+    if differing and not by_name:
         raise ValueError(f"{len(differing)} file(s) have another header than {info[0]['file']}, e.g. {differing[0]}")
-    # the collected header rows (one per file) become the broadcast side: no second pass
-    hdr = F.broadcast(
-        lines.sparkSession.createDataFrame(
-            [(r["file"], r["header_ord"]) for r in info],
-            T.StructType(
-                [T.StructField("file", T.StringType()), T.StructField("header_ord", lines.schema[ORD].dataType)]
-            ),
-        )
-    )
-    body = (
-        lines.withColumn("file", F.col(f"{ORD}.file"))
-        .join(hdr, "file")
-        .where(F.col(ORD) > F.col("header_ord"))
-        .select("value", ORD)
-    )
+    places = None
+    if differing:
+        names, rows = united_columns(list(columns), sep)
+        places = dict(zip(columns, rows))
+    order = T.StructField("header_ord", lines.schema[ORD].dataType)
+    if many:
+        side = headers.select("file", "header_ord", "header")
+        if places:
+            known = spark.createDataFrame(list(places.items()), "header string, places array<int>")
+            side = side.join(F.broadcast(known), "header")
+        side, small = broadcast_if_small(side.drop("header"), persist=False)
+    else:
+        # the collected header rows (one per file) become the broadcast side: no second pass
+        more = [T.StructField("places", T.ArrayType(T.IntegerType()))] if places else []
+        rows = [(r["file"], r["header_ord"], *([places[r["header"]]] if places else [])) for r in info]
+        side = F.broadcast(spark.createDataFrame(rows, T.StructType([T.StructField("file", T.StringType()), order, *more])))
+        small = True
+    how = "yes" if small else "no"
+    body = left_join(lines.withColumn("file", F.col(f"{ORD}.file")), side.drop("places"), "file", broadcast=how)
+    body = body.where(F.col(ORD) > F.col("header_ord")).select("value", ORD)
     if quoted_breaks:
         body = join_quoted_lines(body)
     body = body.where(F.col("value") != "")
-    ddl = ", ".join("`" + n.replace("`", "``") + "` STRING" for n in names)
+    fields = names if places is None else [f"_c{i}" for i in range(max(map(len, columns.values())))]
+    ddl = ", ".join("`" + n.replace("`", "``") + "` STRING" for n in fields)
     parsed = F.from_csv("value", ddl, {"sep": sep, "escape": '"', "quote": '"'})
-    df = body.select(parsed.alias("r"), ORD).select(
-        *[F.col("r").getField(n).alias(n) for n in names], ORD
-    )
+    if places is None:
+        df = body.select(parsed.alias("r"), ORD).select(*[F.col("r").getField(n).alias(n) for n in names], ORD)
+    else:
+        body = left_join(body.withColumn("file", F.col(f"{ORD}.file")), side.select("file", "places"), "file", broadcast=how)
+        read = body.select(parsed.alias("r"), "places", ORD)
+        read = read.select(F.array(*[F.col("r").getField(n) for n in fields]).alias("r"), "places", ORD)
+        df = read.select(*[F.get("r", F.col("places")[j]).alias(n) for j, n in enumerate(names)], ORD)
     return _apply_na(df, names, na_words)
 
 
@@ -325,10 +388,13 @@ def read_with_preamble(
     na_words: bool = True,
     max_files: int = 100_000,
     quoted_breaks: bool = True,
+    by_name: bool = False,
 ) -> DataFrame:
     """S3: skip everything above the header line of each file, then parse as S1. Quoted line breaks
-    are looked for in one more pass over the files; ``quoted_breaks=False`` leaves it out."""
-    return parse_lines(read_lines(spark, path, encoding), token, sep, max_scan, na_words, max_files, quoted_breaks)
+    are looked for in one more pass over the files; ``quoted_breaks=False`` leaves it out. ``by_name``
+    reads each file by its own header (``parse_lines``)."""
+    lines = read_lines(spark, path, encoding)
+    return parse_lines(lines, token, sep, max_scan, na_words, max_files, quoted_breaks, by_name)
 
 
 def typed(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -450,4 +516,5 @@ __all__ = [
     "sniff_separator",
     "split_header",
     "typed",
+    "united_columns",
 ]

@@ -121,3 +121,50 @@ def test_plain_scan_header_check(spark, workdir):
     write_text(os.path.join(workdir, "k", "a.csv"), "x;y\n1;2\n")
     write_text(os.path.join(workdir, "k", "b.csv"), "x;y\n3;4\n")
     assert S.read_delimited(spark, os.path.join(workdir, "k"), check_headers=True).count() == 2
+
+
+def test_united_columns():
+    names, places = S.united_columns(["a;b ;a", " B;c;a", "﻿a;;C"], ";")
+    assert names == ["a", "b ", "a.1", "c", "Unnamed: 1"]
+    assert places == [[0, 1, 2, -1, -1], [2, 0, -1, 1, -1], [0, -1, -1, 2, 1]]
+
+
+def test_files_of_differing_headers(spark, workdir):
+    """Repeated and padded names in differing order are read by name; a file that lacks a column has nulls."""
+    folder = os.path.join(workdir, "odd")
+    write_text(os.path.join(folder, "a.csv"), "x;y;x;z \n1;2;3;4\n5;;7\n")
+    write_text(os.path.join(folder, "b.csv"), " z;x;w;y;extra\n40;\"1;0\";NA;20;9;8\n")
+    write_text(os.path.join(folder, "c.csv"), "x;y;x;z \n6;6;6;6;6\n")
+    want = [("1", "2", "3", "4", None, None), ("5", None, "7", None, None, None),
+            ("1;0", "20", None, "40", None, "9"), ("6", "6", "6", "6", None, None)]
+    df = S.read_delimited(spark, folder)
+    assert df.columns == ["x", "y", "x.1", "z ", "w", "extra", "_ord"]
+    assert [tuple(r)[:-1] for r in df.orderBy("_ord").collect()] == want
+    with pytest.raises(ValueError, match="header"):
+        S.read_delimited(spark, folder, check_headers=True)
+    assert S.read_delimited(spark, folder, with_order=False).columns == df.columns[:-1]
+    # plain names: the scan refuses by default, by_name unites
+    plain = os.path.join(workdir, "plain")
+    write_text(os.path.join(plain, "a.csv"), "x;y\n1;2\n")
+    write_text(os.path.join(plain, "b.csv"), "y;x\n3;4\n")
+    rows = S.read_delimited(spark, plain, by_name=True).orderBy("_ord").select("x", "y").collect()
+    assert [tuple(r) for r in rows] == [("1", "2"), ("4", "3")]
+
+
+@pytest.mark.parametrize("max_files", [100, 1])
+def test_preambles_of_differing_headers(spark, workdir, max_files):
+    """The header table may be larger than what is collected: it is joined as a table then."""
+    folder = os.path.join(workdir, "pre")
+    write_text(os.path.join(folder, "a.csv"), "pre\nMunicipio;2019;2020\nA;1;\"a\nb\"\n")
+    write_text(os.path.join(folder, "b.csv"), "2020;Municipio\nB;x\n2;B\n")
+    write_text(os.path.join(folder, "c.csv"), "one\ntwo\nMunicipio;2019;2020\nC;3;\n")
+    with pytest.raises(ValueError, match="header"):
+        S.read_with_preamble(spark, folder, max_files=max_files)
+    df = S.read_with_preamble(spark, folder, max_files=max_files, by_name=True)
+    rows = [tuple(r)[:3] for r in df.orderBy("_ord").collect()]
+    assert rows == [("A", "1", "a\nb"), ("x", None, "B"), ("B", None, "2"), ("C", "3", None)]
+    same = os.path.join(workdir, "same")
+    write_text(os.path.join(same, "a.csv"), "Municipio;v\nA;1\n")
+    write_text(os.path.join(same, "b.csv"), "pre\nMunicipio;v\nB;2\n")
+    df = S.read_with_preamble(spark, same, max_files=max_files)
+    assert [tuple(r)[:2] for r in df.orderBy("_ord").collect()] == [("A", "1"), ("B", "2")]
