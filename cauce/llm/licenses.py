@@ -192,3 +192,60 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(documents(spark, sf_dir))
+
+
+def _sql_list(words) -> str:
+    return "[" + ", ".join("'" + w + "'" for w in words) + "]"
+
+
+def _sql(templates=TEMPLATES, phrases=PHRASES, threshold: float = THRESHOLD) -> str:
+    """DuckDB SQL for the rows of ``scan``: every block of every text is compared with every template."""
+    longest = max(len(words_of(t)) for t, _ in templates)
+    own = [sorted(set(words_of(t))) for t, _ in templates]
+    rules = ", ".join(
+        f"({k}, '{label}', {_sql_list(words)}, {math.ceil(threshold * len(words) - 1e-9)})"
+        for k, (words, (_, label)) in enumerate(zip(own, templates))
+    )
+    base = ", ".join(f"('{label}', {_sql_list(p.split())})" for p, label in phrases)
+    return f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS uid, CAST(doc_id AS BIGINT) AS doc_id,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents),
+d AS (SELECT uid, doc_id, t, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM docs),
+phrases(label, p) AS (VALUES {base}),
+places AS (
+    SELECT uid, label, i
+    FROM (SELECT uid, label, w, p, unnest(range(0, greatest(len(w) - len(p) + 1, 0))) AS i FROM d, phrases)
+    WHERE w[i + 1 : i + len(p)] = p),
+lines AS (
+    SELECT uid, string_split(line, ' ') AS b
+    FROM (SELECT uid, unnest(string_split(
+              regexp_replace(t, '[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), chr(10))) AS line FROM d)),
+blocks AS (
+    SELECT uid, list_distinct(b) AS b FROM lines WHERE len(b) <= {2 * longest + 2}
+    UNION ALL
+    SELECT uid, list_distinct(w[i + 1 : i + {2 * longest}]) AS b
+    FROM (SELECT uid, w, unnest(range(0, greatest(len(w) - {longest} - 1, 0) + 1, {longest})) AS i
+          FROM d WHERE contains(t, chr(10)) OR len(w) > {2 * longest})),
+templates(k, label, own, need) AS (VALUES {rules}),
+matches AS (
+    SELECT uid, label, shared / len(own) AS share
+    FROM (SELECT uid, label, own, need, len(list_intersect(b, own)) AS shared FROM blocks, templates)
+    WHERE shared >= need),
+base AS (
+    SELECT uid, count(*) AS n, min(i) AS first_word, max(i) AS last_word,
+           string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+    FROM places GROUP BY uid),
+every AS (
+    SELECT uid, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+    FROM (SELECT uid, label FROM places UNION SELECT uid, label FROM matches) GROUP BY uid),
+best AS (SELECT uid, max(share) AS share FROM matches GROUP BY uid)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(base.n, 0) AS n_base, base.first_word, base.last_word,
+       coalesce(base.labels, '') AS base_labels, coalesce(every.labels, '') AS labels,
+       CASE WHEN base.n > 0 THEN 1.0::DOUBLE ELSE coalesce(best.share, 0.0::DOUBLE) END AS score
+FROM d LEFT JOIN base USING (uid) LEFT JOIN every USING (uid) LEFT JOIN best USING (uid)
+"""
+
+
+OP8_SQL = _sql()

@@ -5,14 +5,14 @@ from __future__ import annotations
 from cauce.llm.bpe import op5_bpe
 from cauce.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from cauce.llm.lexical import OP11_SQL, op11_ranked_search
-from cauce.llm.licenses import op8_licenses
+from cauce.llm.licenses import OP8_SQL, op8_licenses
 from cauce.llm.merge_replay import op12_merge_replay
 from cauce.llm.packing import op1_packing
 from cauce.llm.pii import op7_pii
 from cauce.llm.prefix_trie import OP13_SQL, op13_prefix_trie
 from cauce.llm.quality import op9_quality
 from cauce.llm.simhash import op6_simhash
-from cauce.llm.substrings import op10_substrings
+from cauce.llm.substrings import OP10_SQL, op10_substrings
 from cauce.llm.token_files import op4_token_files
 from cauce.llm.url_rules import OP3_SQL, op3_url_rules
 
@@ -35,6 +35,8 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op2_exact_dedup": OP2_SQL,
     "op3_url_rules": OP3_SQL,
+    "op8_licenses": OP8_SQL,
+    "op10_substrings": OP10_SQL,
     "op11_ranked_search": OP11_SQL,
     "op13_prefix_trie": OP13_SQL,
 }

@@ -499,3 +499,33 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The digest of what stays is taken where the text is cut."""
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return _cut_out(documents(spark, sf_dir), schema, lambda b: hashlib.sha256(b).hexdigest(), pa.string())
+
+
+#: DuckDB SQL: every 50-byte string of every text, as hexadecimal digits (parts of 512 starts are cut first),
+#: with the smallest doc_id that has it.
+OP10_SQL = """
+WITH d AS (SELECT CAST(doc_id AS BIGINT) AS doc_id, hex(coalesce(text, '')) AS h FROM documents),
+c AS (
+    SELECT doc_id, j, substr(h, 1024 * j + 1, 1024 + 98) AS part
+    FROM (SELECT doc_id, h, unnest(range(0, len(h) // 1024 + 1)) AS j FROM d)),
+g AS (
+    SELECT doc_id, 512 * j + i AS i, substr(part, 2 * i + 1, 100) AS s
+    FROM (SELECT doc_id, j, part, unnest(range(0, greatest(least(512, len(part) // 2 - 49), 0))) AS i FROM c)),
+f AS (SELECT s, min(doc_id) AS first FROM g GROUP BY s HAVING min(doc_id) < max(doc_id)),
+hit AS (SELECT g.doc_id, g.i FROM g JOIN f USING (s) WHERE f.first < g.doc_id),
+marked AS (
+    SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50, true) AS opens FROM hit),
+numbered AS (SELECT doc_id, i, count(*) FILTER (opens) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked),
+spans AS (SELECT doc_id, span, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY doc_id, span),
+pieces AS (
+    SELECT s.doc_id, s.a, s.b, substr(d.h, 2 * coalesce(lag(s.b) OVER w, 0) + 1,
+           2 * (s.a - coalesce(lag(s.b) OVER w, 0))) AS piece
+    FROM spans s JOIN d USING (doc_id) WINDOW w AS (PARTITION BY s.doc_id ORDER BY s.a)),
+cut AS (
+    SELECT doc_id, string_agg(piece, '' ORDER BY a) AS kept, max(b) AS stop, count(*) AS n, sum(b - a) AS removed
+    FROM pieces GROUP BY doc_id)
+SELECT d.doc_id, len(d.h) // 2 AS n_bytes, CAST(coalesce(cut.removed, 0) AS BIGINT) AS n_removed,
+       coalesce(cut.n, 0) AS n_spans,
+       sha256(unhex(coalesce(cut.kept, '') || substr(d.h, 2 * coalesce(cut.stop, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
