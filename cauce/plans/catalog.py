@@ -114,8 +114,12 @@ FROM s LEFT JOIN lastinc ON s.CP = lastinc.CP
 
 
 # ------------------------------------------------------------------ D: pipeline stages
-def _final(spark: SparkSession, sf: str) -> DataFrame:
-    contact = etl.clean_sessions(contact_raw(spark, sf))
+def _final(spark: SparkSession, sf: str, attributes: list[str] | None = None) -> DataFrame:
+    """The integrated table; ``attributes``: with these session columns only, chosen before the joins."""
+    raw = contact_raw(spark, sf)
+    if attributes is not None:
+        raw = raw.select("sessionID", *attributes, etl.ORD)
+    contact = etl.clean_sessions(raw)
     renta = etl.clean_income(income_raw(spark, sf, unmatched=True))
     delitos = etl.clean_crime(crime_raw(spark, sf))
     return etl.integrate(contact, renta, delitos)
@@ -594,7 +598,7 @@ def a11_corr(spark, sf):
     f"SELECT renta_media, tasa FROM ({FINAL_SQL}) f WHERE renta_media IS NOT NULL AND tasa IS NOT NULL",
 )
 def a12_scatter(spark, sf):
-    return profile.scatter_pairs(_final(spark, sf), "renta_media", "tasa")
+    return profile.scatter_pairs(_final(spark, sf, ["CP"]), "renta_media", "tasa")
 
 
 # ------------------------------------------------------------------ P / F: projections, predicates
@@ -872,6 +876,23 @@ def x13_round(spark, sf):
                      N.round_to(amount, 2, half_even=False).cast("double").alias("discount_amount"))
 
 
+@register(
+    "X13_round_even",
+    """
+SELECT l_orderkey, l_linenumber,
+       CAST(n // 100 + CASE WHEN n % 100 > 50 OR (n % 100 = 50 AND n // 100 % 2 = 1) THEN 1 ELSE 0 END AS DOUBLE)
+           / CAST(100 AS DOUBLE) AS discount_amount
+FROM (SELECT l_orderkey, l_linenumber,
+             CAST(CAST(l_extendedprice * l_discount AS DECIMAL(18, 4)) * 10000 AS BIGINT) AS n
+      FROM lineitem) t
+""",
+)
+def x13_round_even(spark, sf):
+    li = table(spark, sf, "lineitem")
+    amount = (F.col("l_extendedprice") * F.col("l_discount")).cast("decimal(18,4)")
+    return li.select("l_orderkey", "l_linenumber", N.round_to(amount, 2).cast("double").alias("discount_amount"))
+
+
 @register(
     "X15_na_words",
     """
