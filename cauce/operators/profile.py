@@ -8,6 +8,7 @@ group in one task (see ``quantiles``); ``method="approx"`` uses a bounded sketch
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -67,13 +68,26 @@ def top_values(df: DataFrame, col: str, k: int = 10, as_text: bool = True) -> Da
 
 
 # --- quantiles -----------------------------------------------------------------------
-def _rank_in(v: Column, bounds: Column, lo: int, hi: int) -> Column:
-    """How many of the sorted ``bounds[lo:hi]`` are below ``v``: a balanced CASE tree,
-    log2(n) comparisons per row inside generated code (no lambda evaluation)."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(v > bounds[mid], _rank_in(v, bounds, mid + 1, hi)).otherwise(_rank_in(v, bounds, lo, mid))
+_LARGEST = sys.float_info.max
+
+
+def _evenly(x: Column, by_size: Column) -> Column:
+    """The scale on which an interval is cut evenly (halved, so that no difference of two values
+    overflows). ``by_size``: sign and logarithm instead of the value itself; every positive double
+    has a logarithm above -750. Neither ever decreases as ``x`` grows."""
+    size = F.when(x > 0, F.ln(x) + 750).when(x < 0, -(F.ln(-x) + 750)).otherwise(0.0)
+    return F.when(by_size, size).otherwise(x) / 2
+
+
+def _bucket(buckets: int) -> Column:
+    """Number of the bucket of ``__v`` within its interval: -1 its least value, ``buckets`` its largest,
+    between them ``buckets`` of even width. A few operations per row, however many buckets."""
+    v = F.col("__v")
+    share = (_evenly(v, F.col("__by_size")) - F.col("__from")) / F.col("__width")
+    return (
+        F.when(v == F.col("__lo"), -1).when(v == F.col("__hi"), buckets)
+        .when(F.col("__width") > 0, F.least(F.floor(share * buckets), F.lit(buckets - 1))).otherwise(0).cast("int")
+    )
 
 
 def _values(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
@@ -94,10 +108,11 @@ def quantiles(
     buckets: int = 128,
     accuracy: int = 10_000,
     max_sort_rows: int = 1_000_000,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Quantiles of ``col`` per group with linear interpolation between order statistics
     (pandas/numpy default, SQL ``percentile_cont``). One row per group, one column per
-    probability. ``method="approx"`` uses ``percentile_approx`` (bounded sketch); the
+    probability. ``method="approx"`` uses ``percentile_approx`` (bounded sketch of ``accuracy``); the
     exact method is ``selected_quantiles``. Groups that are null are left out."""
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
     keys = list(by) or ["__g"]
@@ -105,7 +120,7 @@ def quantiles(
     if method == "approx":
         agg = rows.groupBy(*keys).agg(F.percentile_approx("__v", list(probs), accuracy).alias("__q"))
         return agg.select(*by, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
-    return selected_quantiles(rows, keys, probs, names, buckets, accuracy, max_sort_rows).select(*by, *names)
+    return selected_quantiles(rows, keys, probs, names, buckets, max_sort_rows, totals).select(*by, *names)
 
 
 def selected_quantiles(
@@ -114,20 +129,24 @@ def selected_quantiles(
     probs: Sequence[float],
     names: Sequence[str],
     buckets: int = 128,
-    accuracy: int = 10_000,
     max_sort_rows: int = 1_000_000,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Exact quantiles of ``rows`` (keys, ``__v``) by selecting ranks on the rows themselves; no table
     of their values is built:
-      1. every wanted rank starts with all values of its group and no rows before it;
-      2. an interval of more than ``max_sort_rows`` rows is cut by the quantiles of a bounded
-         sketch (one pass over the rows). A second pass counts the rows of each bucket exactly; a cut
-         value is a bucket of its own, so a hot value is set apart at once. The bucket that holds the
-         rank is the next interval. Passes shuffle sketches and bucket counts alone;
+      1. every wanted rank starts with all values of its group and no rows before it (``totals``: keys,
+         ``__m`` rows, ``__lo`` least and ``__hi`` largest value, if the caller has them);
+      2. an interval of more than ``max_sort_rows`` rows is cut evenly into ``buckets``, its two ends set
+         apart. One pass counts the rows of each bucket exactly, with its least and largest value, which
+         bound the next interval of the ranks in it; so a bucket of one value ends there. If a bucket keeps
+         over half the rows and spans zero or magnitudes, it is cut by magnitude next. Passes shuffle
+         bucket counts alone;
       3. an interval of one value is done. What is left of the others, at most ``max_sort_rows``
          rows each, is sorted in a window partition of its own.
-    Each level divides an interval's rows by about ``buckets``. The driver reads one number per
-    level; the table of ranks (groups x probabilities rows) is checkpointed to cut the lineage.
+    Each level divides an interval's rows by about ``buckets`` where they lie evenly, and always its width
+    or its span of magnitudes: the levels are bounded by the digits of a double, whatever the values. The
+    driver reads one number per level; the table of ranks (groups x probabilities rows) is checkpointed
+    to cut the lineage.
     """
     from cauce.session import checkpoint_root
 
@@ -136,14 +155,18 @@ def selected_quantiles(
     prob_arr = F.array(*[F.lit(float(p)) for p in probs])
     seg = ["__lo", "__hi"]
     ranks = ["__i", "__pos", "__r"]
+    if totals is None:
+        totals = rows.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("__m"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")
+        )
     targets = (
-        rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__m"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
-        .select("*", F.posexplode(prob_arr).alias("__i", "__p"))
+        totals.select(*keys, "__m", *seg, F.posexplode(prob_arr).alias("__i", "__p"))
         .withColumn("__pos", (F.col("__m") - 1) * F.col("__p"))
         .withColumn("__r", F.explode(F.array_distinct(F.array(F.floor("__pos"), F.ceil("__pos")))))
         .withColumn("__r", F.col("__r").cast("long"))
         .withColumn("__off", F.lit(0).cast("long"))
-        .select(*keys, *ranks, *seg, "__off", "__m")
+        .withColumn("__by_size", F.lit(False))
+        .select(*keys, *ranks, *seg, "__off", "__m", "__by_size")
         .checkpoint()
     )
 
@@ -152,28 +175,34 @@ def selected_quantiles(
         return rows.join(small, keys).where((F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
 
     open_ = (F.col("__lo") < F.col("__hi")) & (F.col("__m") > max_sort_rows)
-    left = targets.where(open_).count()
-    while left:
-        segments = targets.where(open_).select(*keys, *seg, "__off").distinct()
-        cuts = inside(segments).groupBy(*keys, *seg, "__off").agg(
-            F.percentile_approx("__v", [i / buckets for i in range(1, buckets)], accuracy).alias("__b")
-        ).checkpoint()
-        below = _rank_in(F.col("__v"), F.col("__b"), 0, buckets - 1)
-        at_cut = F.coalesce((F.col("__v") == F.get("__b", F.col("__k"))).cast("int"), F.lit(0))
-        per = inside(cuts).withColumn("__k", below).withColumn("__k", 2 * F.col("__k") + at_cut)
-        per = per.groupBy(*keys, *seg, "__off", "__k").agg(
+    settled = []
+    first = _evenly(F.greatest("__lo", F.lit(-_LARGEST)), F.col("__by_size"))
+    last = _evenly(F.least("__hi", F.lit(_LARGEST)), F.col("__by_size"))
+    while targets.where(open_).count():
+        settled.append(targets.where(~open_))
+        targets = targets.where(open_)
+        segments = targets.select(
+            *keys, *seg, "__off", "__by_size", first.alias("__from"), (last - first).alias("__width")
+        ).distinct()
+        per = inside(segments).groupBy(*keys, *seg, "__off", _bucket(buckets).alias("__k")).agg(
             F.count(F.lit(1)).alias("__bm"), F.min("__v").alias("__bmin"), F.max("__v").alias("__bmax")
         )
         before = Window.partitionBy(*keys, *seg).orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)
         per = per.withColumn("__start", F.col("__off") + F.coalesce(F.sum("__bm").over(before), F.lit(0))).drop("__off")
-        cut = targets.where(open_).drop("__off", "__m").join(per, keys + seg).where(
+        cut = targets.drop("__off").join(per, keys + seg).where(
             (F.col("__r") >= F.col("__start")) & (F.col("__r") < F.col("__start") + F.col("__bm"))
         )
-        cut = cut.select(
-            *keys, *ranks, F.col("__bmin").alias("__lo"), F.col("__bmax").alias("__hi"), F.col("__start").alias("__off"), F.col("__bm").alias("__m")
+        spans = (
+            F.when(F.col("__bmin") > 0, F.col("__bmax") / 16 > F.col("__bmin"))
+            .when(F.col("__bmax") < 0, F.col("__bmin") / 16 < F.col("__bmax")).otherwise(True)
         )
-        targets = targets.where(~open_).unionByName(cut).checkpoint()
-        left = targets.where(open_).count()
+        by_size = ~F.col("__by_size") & (F.col("__bm") > F.col("__m") / 2) & spans
+        targets = cut.select(
+            *keys, *ranks, F.col("__bmin").alias("__lo"), F.col("__bmax").alias("__hi"), F.col("__start").alias("__off"),
+            F.col("__bm").alias("__m"), by_size.alias("__by_size"),
+        ).checkpoint()
+    for more in settled:
+        targets = targets.unionByName(more)
 
     single = F.col("__lo") == F.col("__hi")
     done = targets.where(single).select(*keys, *ranks, F.col("__lo").alias("__v"))
@@ -201,30 +230,31 @@ def describe(
     """Per numeric column: count, mean, sample std, min, 25/50/75 % quantiles, max
     (NaN and null skipped, as pandas does).
 
-    The columns are stacked into (column, value) rows (no shuffle): one grouped aggregate
-    gives the moments of all columns, rank selection over the same rows all exact quantiles
-    (``selection``: parameters of ``selected_quantiles``).
+    The columns are stacked into (column number, value) rows (no shuffle): one grouped aggregate
+    gives the moments of all columns (one row per column, kept: rank selection starts from its counts and
+    ends), rank selection over the same rows all exact quantiles (``selection``: parameters of
+    ``selected_quantiles``).
     """
     cols = list(cols or numeric_columns(df))
-    long = df.select(
-        *[q(c).cast("double").alias(f"__c{i}") for i, c in enumerate(cols)]
-    ).unpivot([], [f"__c{i}" for i in range(len(cols))], "__slot", "__x")
-    names = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(f"__c{i}"), F.lit(c))])
-    long = long.select(names[F.col("__slot")].alias("column"), F.col("__x").alias("x"))
+    long = df.select(F.posexplode(F.array(*[q(c).cast("double") for c in cols])).alias("__slot", "x"))
     stat_names = ["p25", "p50", "p75"]
     # moments with Spark's own aggregates over the stacked rows (partial per partition);
     # summing per distinct value instead would change the floating summation order
     x = F.when(~F.isnan("x"), F.col("x"))  # NaN counts as missing, as in pandas
-    basic = long.groupBy("column").agg(
+    basic = persist_for_job(long.groupBy("__slot").agg(
         F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
         F.min(x).alias("min"), F.max(x).alias("max"),
-    )
+    ))
     if method == "approx":
-        qs = quantiles(long, "x", [0.25, 0.5, 0.75], by=["column"], names=stat_names, method="approx")
+        qs = quantiles(long, "x", [0.25, 0.5, 0.75], by=["__slot"], names=stat_names, method="approx")
     else:
-        qs = quantiles(long, "x", [0.25, 0.5, 0.75], by=["column"], names=stat_names, **selection)
-    out = basic.join(qs, "column", "left")
-    return out.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+        totals = basic.where(F.col("count") > 0).select(
+            "__slot", F.col("count").alias("__m"), F.col("min").alias("__lo"), F.col("max").alias("__hi")
+        )
+        qs = quantiles(long, "x", [0.25, 0.5, 0.75], by=["__slot"], names=stat_names, totals=totals, **selection)
+    column = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("__slot") + 1).alias("column")
+    out = basic.join(qs, "__slot", "left")
+    return out.select(column, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 # --- A9 ------------------------------------------------------------------------------
@@ -402,8 +432,6 @@ def scatter_pairs(df: DataFrame, x: str, y: str) -> DataFrame:
 def _ship_by_value() -> None:
     """Functions of this module run inside Python workers (mapInPandas / pandas UDF).
     Serialise them by value so executors need numpy/pandas only, not this package."""
-    import sys
-
     from pyspark import cloudpickle
 
     cloudpickle.register_pickle_by_value(sys.modules[__name__])

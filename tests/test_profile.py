@@ -129,3 +129,42 @@ def profile_persisted():
     from cauce import session
 
     return list(session._persisted())
+
+
+def test_describe_reads_the_rows_three_times(spark):
+    """Moments, one level of bucket counts, the last few rows: no further pass over the source."""
+    read, n = spark.sparkContext.accumulator(0), 20_000
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    df = spark.range(0, n, 1, 4).selectExpr("cast(id as double) as v", "id % 5 as w")
+    df = df.mapInArrow(counted, "v double, w bigint")
+    rows = {r["column"]: r for r in profile.describe(df, buckets=64, max_sort_rows=1000).collect()}
+    assert [rows["v"][c] for c in ("count", "p25", "p50", "p75")] == [n, 4999.75, 9999.5, 14999.25]
+    assert [rows["w"][c] for c in ("count", "p25", "p50", "p75")] == [n, 1.0, 2.0, 3.0]
+    assert read.value == 3 * n
+
+
+def test_selection_of_values_that_even_buckets_do_not_divide(spark):
+    """Hot values amid others, hundreds of decades around zero, infinite ends, neighbouring and least doubles."""
+    rng = np.random.default_rng(11)
+    n = 2001
+    cases = {
+        "hot": np.concatenate([np.full(n, 42.0), rng.uniform(0, 100, n)]),
+        "zero": np.concatenate([np.zeros(n), rng.choice([-1, 1], n) * 10.0 ** rng.uniform(-300, 300, n)]),
+        "infinite": np.concatenate([np.full(400, -np.inf), np.full(400, np.inf), rng.normal(0, 1, n)]),
+        "neighbours": 1 + rng.integers(0, 1000, n) * 2.0**-52,
+        "least": rng.integers(-40, 40, n) * 5e-324,
+        "far": np.concatenate([rng.uniform(0, 1, n), [-1.7e308, 1.7e308]]),
+    }
+    pdf = pd.concat([pd.DataFrame({"g": g, "v": rng.permutation(v)}) for g, v in cases.items()])
+    df = spark.createDataFrame(pdf).repartition(4)
+    probs = [0.25, 0.41, 0.5, 0.66, 0.75]
+    names = [f"p{i}" for i in range(len(probs))]
+    got = profile.quantiles(df, "v", probs, by=["g"], names=names, buckets=16, max_sort_rows=10)
+    got = {r["g"]: [r[x] for x in names] for r in got.collect()}
+    for g, v in cases.items():
+        assert np.allclose(got[g], np.quantile(v, probs), rtol=1e-15, atol=0), g
